@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sentilode.checks import sql as S
 from sentilode.checks.registry import query
-from sentilode.checks.tables import load
+from sentilode.checks.tables import documents, load
 from sentilode.functions import text as tx
 from sentilode.functions.labels import recode_label, replace_label, sentiment_name
 from sentilode.operators import sampling
@@ -106,7 +106,7 @@ def filter_not_null(spark, sf_dir):
     f"SELECT count(*) AS n FROM documents WHERE {S.clean('text')} IS NOT NULL",
 )
 def corpus_count(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select(tx.clean(F.col("text")).alias("tweet"))
+    docs = documents(spark, sf_dir).select(tx.clean(F.col("text")).alias("tweet"))
     return corpus.drop_missing(docs, "tweet").agg(F.count("*").alias("n"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sentilode.functions.text import model_tokens
 from sentilode.operators.features import term_stats, with_counts
+from sentilode.operators.scale import spread
 from sentilode.session import materialize
 
 # A word seen this often counts as a lemma in the lexicon that the queries derive.
@@ -16,10 +17,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text)"""
+    return spread(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, label, text)"""
     labels = load(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
-    return load(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id").select(
+    return documents(spark, sf_dir).join(labels, "doc_id").select(
         "doc_id", "label", "text"
     )
 
@@ -31,7 +37,7 @@ def decorated(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("@user"), key, F.lit(" "), F.col("text"), F.lit(" http://ex.org/"), key,
         F.lit(" www.a.b don't Can't"), F.lit("❤\U0001f600"),
     )
-    return load(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return documents(spark, sf_dir).select("doc_id", text.alias("text"))
 
 
 def corpus_lexicon(spark: SparkSession, stats: DataFrame) -> DataFrame:
@@ -44,7 +50,7 @@ def corpus_lexicon(spark: SparkSession, stats: DataFrame) -> DataFrame:
 
 def counted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, terms) of all documents."""
-    return with_counts(load(spark, sf_dir, "documents"), model_tokens(F.col("text")), "doc_id")
+    return with_counts(documents(spark, sf_dir), model_tokens(F.col("text")), "doc_id")
 
 
 def counted_labelled(df: DataFrame, *keep: str) -> DataFrame:

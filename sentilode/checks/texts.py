@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from sentilode.checks import sql as S
 from sentilode.checks.registry import query
 from sentilode.checks.tables import (
-    LEXICON_COUNT, corpus_lexicon, decorated, document_terms, load,
+    LEXICON_COUNT, corpus_lexicon, decorated, document_terms, documents, load,
 )
 from sentilode.functions import patterns as P, text as tx
 from sentilode.functions.arrays import ngrams
@@ -143,7 +143,7 @@ JOINED_LEMMAS = (
 )
 def token_chain(spark, sf_dir):
     """Clean, tokens, stop words, lemmas: the whole text of every document."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", tx.model_tokens(F.col("text")).alias("tokens"))
+    docs = documents(spark, sf_dir).select("doc_id", tx.model_tokens(F.col("text")).alias("tokens"))
     stats = document_terms(spark, sf_dir)
     changed = materialize(
         lemma.changed_lemmas(stats, corpus_lexicon(spark, stats), lemma.irregular_table(spark), "n"),

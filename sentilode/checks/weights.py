@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sentilode.checks import sql as S
 from sentilode.checks.registry import query
 from sentilode.checks.tables import (
-    counted_documents, counted_labelled, document_terms, labelled, load,
+    counted_documents, counted_labelled, document_terms, documents, labelled, load,
 )
 from sentilode.functions import patterns as P
 from sentilode.operators import features, sampling
@@ -81,5 +81,5 @@ def tfidf_corpus_scope(spark, sf_dir):
     "SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w",
 )
 def tfidf_bigram_l2(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     return features.tfidf_bigrams_l2(docs, "doc_id", F.col("text")).withColumn("weight", F.round("weight", 6))

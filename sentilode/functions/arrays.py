@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
@@ -54,3 +55,22 @@ def ngrams(tokens: Column, n: int) -> Column:
             lambda g: g.isNotNull(),
         ),
     )
+
+
+def word_set(words: Iterable[str]) -> Callable[[Column], Column]:
+    """A test for membership in a list of words, for use inside lambdas.
+
+    The list becomes one literal: short arrays, of which the checksum of the
+    word picks one. That stays quick for lists on which isin() takes seconds
+    to build.
+    """
+    listed = sorted({w for w in words if w and " " not in w})
+    count = max(1, len(listed) // 16)
+    groups: list[list[str]] = [[] for _ in range(count)]
+    for word in listed:
+        groups[zlib.crc32(word.encode()) % count].append(word)
+    escaped = [" ".join(g).replace("\\", "\\\\").replace("'", "\\'") for g in groups]
+    table = F.expr("array(" + ", ".join(f"split('{g}', ' ')" for g in escaped) + ")")
+    return lambda word: F.array_contains(
+        F.get(table, (F.crc32(word.cast("binary")) % count).cast("int")), word
+    )

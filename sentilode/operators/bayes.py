@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sentilode.operators.features import VOCABULARY_SIZE, idf_weight, term_rows
+from sentilode.operators.features import VOCABULARY_SIZE, idf_weight, known_rows, term_rows, term_stats
 from sentilode.operators.scale import lookup_join, top_k
 from sentilode.session import materialize
 
@@ -138,15 +138,10 @@ def fit(
         ]
     kept = [label] + ([fold] if fold else [])
     stats = materialize(
-        counted.select(*kept, F.inline("terms")).groupBy("term").agg(*aggregates), "bayes-counts"
+        known_rows(counted, *kept).groupBy("term").agg(*aggregates), "bayes-counts"
     )
     if corpus is not None:
-        wide = (
-            corpus.select(F.inline("terms"))
-            .groupBy("term")
-            .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-        )
-        stats = wide.join(stats.drop("df"), "term", "left").na.fill(0)
+        stats = term_stats(corpus).join(stats.drop("df"), "term", "left").na.fill(0)
         documents = [corpus.count()]
         views = [None]
 

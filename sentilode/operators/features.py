@@ -23,10 +23,19 @@ def term_rows(counted: DataFrame, *keep: str) -> DataFrame:
     return counted.select(*keep, F.inline_outer("terms"))
 
 
+def known_rows(counted: DataFrame, *keep: str) -> DataFrame:
+    """(keep, term, tf) without documents that have no terms.
+
+    For inline() the optimiser would add a filter on the size of the array,
+    which counts the terms once more; so the outer form is taken and filtered.
+    """
+    return term_rows(counted, *keep).filter(F.col("term").isNotNull())
+
+
 def term_stats(counted: DataFrame) -> DataFrame:
     """(term, df, cf): documents with the term, and its count in the corpus."""
     return (
-        counted.select(F.inline("terms"))
+        known_rows(counted)
         .groupBy("term")
         .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
     )
@@ -47,7 +56,7 @@ def idf(stats: DataFrame, documents: int) -> DataFrame:
 
 def tfidf(counted: DataFrame, weights: DataFrame, *keep: str) -> DataFrame:
     """(keep, term, tf, weight) for the terms that `weights` (term, idf) knows."""
-    rows = counted.select(*keep, F.inline("terms"))
+    rows = known_rows(counted, *keep)
     return lookup_join(rows, weights.select("term", "idf"), "term", "inner").select(
         *keep, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight")
     )

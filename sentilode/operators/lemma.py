@@ -113,7 +113,7 @@ def changed_lemmas(
     tried = (
         vocabulary.select(term)
         .join(irregular, term, "left")
-        .select(term, F.inline(candidates(F.col(term), F.col("_irregular"), pos)))
+        .select(term, F.inline_outer(candidates(F.col(term), F.col("_irregular"), pos)))
     )
     best = (
         tried.join(known, "form", "left_semi")
@@ -140,12 +140,11 @@ def lemmatize_tokens(
 def tagged_changes(
     vocabulary: DataFrame, tags: DataFrame, lexicon: DataFrame, exceptions: DataFrame
 ) -> DataFrame:
-    """(term, lemma) by part of speech: tag J adjective, V verb, R adverb, anything else noun."""
+    """(term, lemma) by part of speech (the first tag of a token): J adjective, V verb, R adverb, anything else noun."""
     initial = F.substring("tag", 1, 1)
     pos = F.when(initial == "J", "a").when(initial == "V", "v").when(initial == "R", "r").otherwise("n")
-    tagged = vocabulary.select("term").join(
-        tags.select(F.col("token").alias("term"), "tag"), "term", "left"
-    ).select("term", pos.alias("pos"))
+    one_tag = tags.groupBy(F.col("token").alias("term")).agg(F.min("tag").alias("tag"))
+    tagged = vocabulary.select("term").join(one_tag, "term", "left").select("term", pos.alias("pos"))
     tagged = materialize(tagged, "tagged-terms")
     parts = [
         changed_lemmas(tagged.filter(F.col("pos") == p), lexicon, exceptions, p)

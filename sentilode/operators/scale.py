@@ -16,6 +16,18 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_KEYS = 10_000
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows out by key if the input has fewer parts than the session has cores.
+
+    For small or unsplittable files before work that is heavy per row. A large
+    input has parts enough and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def measured_bytes(table: DataFrame) -> int:
     """The size of a table's values in memory, from one aggregate over it."""
 

@@ -10,7 +10,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from sentilode.functions import text as tx
-from sentilode.functions.arrays import let
+from sentilode.functions.arrays import let, word_set
 from sentilode.operators.lemma import IRREGULAR, candidates
 
 # A lexicon travels with the plan to every task; a larger one belongs in a table (operators.lemma).
@@ -84,9 +84,11 @@ class Lemmatizer(
             ),
         )
 
+        in_lexicon = word_set(known)
+
         def lemma(word):
             special = F.when(word.isin(forms), F.element_at(lemmas, word))
-            tried = F.filter(candidates(word, special, pos), lambda c: c["form"].isin(known))
+            tried = F.filter(candidates(word, special, pos), lambda c: in_lexicon(c["form"]))
             return F.coalesce(F.array_min(tried)["form"], word)
 
         tokens = F.filter(F.col(self.getInputCol()), lambda w: F.length(w) > 0)

@@ -28,10 +28,10 @@ def from_event(df: DataFrame, payload: str = "event") -> DataFrame:
 
 def snapshot(results: DataFrame, latest: int | None = None) -> DataFrame:
     """All results in order of arrival, or the `latest` ones, last first."""
-    position = F.col("key").cast("bigint")
+    position = F.col("key").try_cast("bigint")
     if latest is None:
-        return results.orderBy("batch_id", position)
-    return results.orderBy(F.desc("batch_id"), position.desc()).limit(latest)
+        return results.orderBy("batch_id", position, "key")
+    return results.orderBy(F.desc("batch_id"), position.desc(), F.desc("key")).limit(latest)
 
 
 def write_report(path: str, **reports: DataFrame) -> None:
