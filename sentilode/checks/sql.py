@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from sentilode.functions import patterns as P
-from sentilode.functions.text import english_stopwords
 from sentilode.operators.lemma import IRREGULAR, SUFFIX_RULES
 
 
@@ -27,7 +26,7 @@ def clean(expr: str) -> str:
 
 
 def stop_list() -> str:
-    return "(" + ", ".join(quoted(w) for w in english_stopwords()) + ")"
+    return "(" + ", ".join(quoted(w) for w in P.ENGLISH_STOPWORDS) + ")"
 
 
 def model_tokens(expr: str) -> str:

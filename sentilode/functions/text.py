@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, functions as F
 
 from sentilode.functions import patterns as P
@@ -92,19 +91,14 @@ def drop_empty(tokens: Column) -> Column:
     return F.filter(tokens, lambda w: F.length(w) > 0)
 
 
-def english_stopwords() -> list[str]:
-    """Spark's own English list."""
-    return StopWordsRemover.loadDefaultStopWords("english")
-
-
 def remove_stopwords_exact(tokens: Column, words: Iterable[str] | None = None) -> Column:
-    listed = list(words) if words is not None else english_stopwords()
+    listed = list(words) if words is not None else P.ENGLISH_STOPWORDS
     return F.filter(tokens, lambda w: ~w.isin(listed))
 
 
 def remove_stopwords(tokens: Column, words: Iterable[str] | None = None) -> Column:
     """Without regard to case."""
-    listed = [w.lower() for w in (words if words is not None else english_stopwords())]
+    listed = [w.lower() for w in (words if words is not None else P.ENGLISH_STOPWORDS)]
     return F.filter(tokens, lambda w: ~F.lower(w).isin(listed))
 
 
@@ -113,7 +107,7 @@ def model_tokens(text: Column) -> Column:
 
     One pass over the array: the tokens are lower-case already.
     """
-    stop = english_stopwords()
+    stop = P.ENGLISH_STOPWORDS
     words = F.split(F.lower(clean(text)), P.TOKEN_SPACE)
     return F.filter(words, lambda w: (F.length(w) > 0) & ~w.isin(stop))
 

@@ -14,6 +14,11 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
+}
+
+
 def _normal(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 
@@ -31,9 +36,12 @@ def difference(df, sql: str, con) -> str | None:
     """None if equal, else what differs first."""
     result = con.execute(sql)
     want, want_columns = _normal(result.fetchall(), [d[0] for d in result.description])
+    types = {d[0]: SPARK_TYPES.get(str(d[1]), str(d[1])) for d in result.description}
     got, got_columns = _normal([tuple(r) for r in df.collect()], df.columns)
     if want_columns != got_columns:
         return f"columns {got_columns} != {want_columns}"
+    if types != dict(df.dtypes):
+        return f"types {sorted(df.dtypes)} != {sorted(types.items())}"
     if len(want) != len(got):
         return f"rows {len(got)} != {len(want)}"
     for a, b in zip(got, want):
