@@ -6,7 +6,7 @@ from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, VectorIndexer
 from pyspark.sql import functions as F
 
 from sentilode.checks import sql as S
-from sentilode.checks.bayes import report_sql
+from sentilode.checks.bayes import GRID, report_sql
 from sentilode.checks.registry import query
 from sentilode.checks.tables import LEXICON_COUNT, document_terms, labelled, load
 from sentilode.functions import text as tx
@@ -105,7 +105,14 @@ def _entries(vectors, column: str):
     ).toDF("doc_id", "index", "value")
 
 
-@query("hashing_tf")
+BUCKETS = 1 << 18
+
+
+@query(
+    "hashing_tf",
+    f"WITH {S.LABELLED}, {S.pairs(S.model_tokens('text'), 'labelled')}, {S.murmur3('pairs', BUCKETS)} "
+    "SELECT doc_id, bucket, CAST(sum(tf) AS BIGINT) AS tf FROM pairs JOIN hashed USING (term) GROUP BY doc_id, bucket",
+)
 def hashing_tf(spark, sf_dir):
     hashed = HashingTF(inputCol="lemmatized", outputCol="tf").transform(_tokens(spark, sf_dir))
     return _entries(hashed, "tf").select(
@@ -135,7 +142,23 @@ def vector_indexer(spark, sf_dir):
     )
 
 
-@query("cv_best")
+@query(
+    "cv_best",
+    f"WITH RECURSIVE {LEMMAS}, "
+    f"toks AS (SELECT doc_id, {S.expanded_tokens('text')} AS toks FROM labelled), "
+    "terms AS (SELECT doc_id, term, count(*) AS tf FROM "
+    "(SELECT doc_id, unnest(toks) AS term FROM toks) GROUP BY doc_id, term), "
+    "nouns AS (SELECT DISTINCT term, 'n' AS pos FROM terms), "
+    f"{S.lemma_ctes('nouns', 'lexicon')}, lemmas AS (SELECT DISTINCT lemma AS term FROM lemma_of), "
+    f"{S.murmur3('lemmas', BUCKETS)}, "
+    "pairs AS (SELECT doc_id, bucket AS term, sum(tf) AS tf FROM terms JOIN lemma_of USING (term) "
+    "JOIN hashed ON hashed.term = lemma GROUP BY doc_id, bucket), "
+    f"{S.FOLDS}, {S.naive_bayes(GRID, BUCKETS)}, "
+    "per_fold AS (SELECT s, run, avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS a FROM pred GROUP BY s, run), "
+    "mean AS (SELECT s AS smoothing, avg(a) AS accuracy FROM per_fold GROUP BY s) "
+    "SELECT smoothing, round(accuracy, 6) AS accuracy, "
+    "row_number() OVER (ORDER BY round(accuracy, 12) DESC, smoothing) = 1 AS best FROM mean",
+)
 def cv_best(spark, sf_dir):
     """(smoothing, accuracy, best) of the grid, on hashed features."""
     rows = labelled(spark, sf_dir)

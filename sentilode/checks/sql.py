@@ -36,6 +36,14 @@ def model_tokens(expr: str) -> str:
     )
 
 
+def expanded_tokens(expr: str) -> str:
+    """The model's tokens with contractions expanded after cleaning."""
+    return (
+        f"list_filter(regexp_split_to_array(lower({expand_words(clean(expr))}), {quoted(P.TOKEN_SPACE)}), "
+        f"lambda t: length(t) > 0 AND t NOT IN {stop_list()})"
+    )
+
+
 def tokenize(expr: str) -> str:
     trimmed = f"rtrim(lower({expr}), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' ')"
     return f"regexp_split_to_array({trimmed}, {quoted(P.TOKEN_SPACE)})"
@@ -130,11 +138,58 @@ def lemma_ctes(tagged: str, lexicon: str) -> str:
       )"""
 
 
-def naive_bayes(smoothings=(1.0,)) -> str:
+def murmur3(terms: str, buckets: int) -> str:
+    """hashed(term, bucket) for the distinct terms of a relation: MurmurHash3 x86 32, seed 42."""
+    word = 4294967296  # all arithmetic is modulo 2^32
+
+    def rotated(x: str, n: int) -> str:
+        return f"((({x}) << {n}) | (({x}) >> {32 - n})) % {word}"
+
+    def mixed(k: str) -> str:
+        return f"(({rotated(f'(({k}) * 3432918353) % {word}', 15)}) * 461845907) % {word}"
+
+    def byte(i: str) -> str:
+        digit = "instr('0123456789ABCDEF', substr(h, {at}, 1)) - 1"
+        return f"(16 * ({digit.format(at=f'2 * ({i}) + 1')}) + {digit.format(at=f'2 * ({i}) + 2')})"
+
+    def little_endian(start: str, count: str) -> str:
+        return (
+            f"coalesce(list_sum(list_transform(range(0, {count}), "
+            f"lambda j: CAST({byte(f'{start} + j')} AS UBIGINT) << (8 * j))), 0)"
+        )
+
+    block = f"CAST({little_endian('4 * i', '4')} AS UBIGINT)"
+    step = rotated(f"xor(x, {mixed('k')})", 13)
+    return f"""
+      hexed AS (SELECT DISTINCT term, hex(encode(term)) AS h, strlen(term) AS n FROM {terms}),
+      blocked AS (
+        SELECT term, n, list_transform(range(0, n // 4), lambda i: {block}) AS blocks,
+               CAST({little_endian('n - n % 4', 'n % 4')} AS UBIGINT) AS tail
+        FROM hexed),
+      reduced AS (
+        SELECT term, n, tail, list_reduce(list_concat([CAST(42 AS UBIGINT)], blocks),
+               lambda x, k: ((({step}) * 5 + 3864292196) % {word})) AS x
+        FROM blocked),
+      ended AS (SELECT term, xor(xor(x, {mixed('tail')}), CAST(n AS UBIGINT)) AS x FROM reduced),
+      final1 AS (SELECT term, (xor(x, x >> 16) * 2246822507) % {word} AS x FROM ended),
+      final2 AS (SELECT term, (xor(x, x >> 13) * 3266489909) % {word} AS x FROM final1),
+      hashed AS (SELECT term, CAST(xor(x, x >> 16) % {buckets} AS INTEGER) AS bucket FROM final2)"""
+
+
+def naive_bayes(smoothings=(1.0,), buckets: int | None = None) -> str:
     """pred(run, doc_id, label, s, raw0, raw1, prediction) and theta(run, label, s, term, idf, theta)
 
     from train(run, doc_id, label), test(run, doc_id, label), pairs(doc_id, term, tf).
+    With `buckets` the terms are hash buckets: all of them are features, seen in training or not.
     """
+    if buckets is None:
+        seen, features = "seen JOIN sizes USING (run)", "count(*)"
+    else:
+        seen = (
+            "(SELECT run, m, term, label, tf FROM sizes CROSS JOIN (SELECT DISTINCT term FROM pairs) "
+            "LEFT JOIN seen USING (run, term))"
+        )
+        features = str(buckets)
 
     def log(x: str) -> str:
         return f"CASE WHEN {x} > 0 THEN ln({x}) ELSE CAST('-infinity' AS DOUBLE) END"
@@ -150,11 +205,11 @@ def naive_bayes(smoothings=(1.0,)) -> str:
               FROM sizes z, (VALUES (0), (1)) c(label)) z JOIN grid g ON g.label = z.label),
       seen AS (SELECT t.run, t.label, p.term, p.tf FROM train t JOIN pairs p USING (doc_id)),
       weights AS (
-        SELECT run, term, ln((m + 1.0) / (count(*) + 1)) AS idf,
+        SELECT run, term, ln((m + 1.0) / (count(tf) + 1)) AS idf,
                CAST(coalesce(sum(tf) FILTER (label = 0), 0) AS DOUBLE) AS n0,
                CAST(coalesce(sum(tf) FILTER (label = 1), 0) AS DOUBLE) AS n1
-        FROM seen JOIN sizes USING (run) GROUP BY run, term, m),
-      totals AS (SELECT run, count(*) AS v, sum(idf * n0) AS w0, sum(idf * n1) AS w1 FROM weights GROUP BY run),
+        FROM {seen} GROUP BY run, term, m),
+      totals AS (SELECT run, {features} AS v, sum(idf * n0) AS w0, sum(idf * n1) AS w1 FROM weights GROUP BY run),
       theta AS (
         SELECT run, g.label, g.s, term, idf,
                {log("(idf * CASE WHEN g.label = 1 THEN n1 ELSE n0 END + g.s)")}

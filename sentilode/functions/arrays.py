@@ -57,6 +57,21 @@ def ngrams(tokens: Column, n: int) -> Column:
     )
 
 
+def _groups(words: list[str]) -> tuple[list[list[str]], Callable[[Column], Column]]:
+    """Short lists of words, and the number of the list that a word would be in."""
+    count = max(1, len(words) // 16)
+    groups: list[list[str]] = [[] for _ in range(count)]
+    for word in words:
+        groups[zlib.crc32(word.encode()) % count].append(word)
+    return groups, lambda word: (F.crc32(word.cast("binary")) % count).cast("int")
+
+
+def _literal(groups: Iterable[Iterable[str]]) -> Column:
+    """array<array<string>> as one literal; the words must not contain a space."""
+    escaped = [" ".join(g).replace("\\", "\\\\").replace("'", "\\'") for g in groups]
+    return F.expr("array(" + ", ".join(f"split('{g}', ' ')" for g in escaped) + ")")
+
+
 def word_set(words: Iterable[str]) -> Callable[[Column], Column]:
     """A test for membership in a list of words, for use inside lambdas.
 
@@ -64,13 +79,18 @@ def word_set(words: Iterable[str]) -> Callable[[Column], Column]:
     word picks one. That stays quick for lists on which isin() takes seconds
     to build.
     """
-    listed = sorted({w for w in words if w and " " not in w})
-    count = max(1, len(listed) // 16)
-    groups: list[list[str]] = [[] for _ in range(count)]
-    for word in listed:
-        groups[zlib.crc32(word.encode()) % count].append(word)
-    escaped = [" ".join(g).replace("\\", "\\\\").replace("'", "\\'") for g in groups]
-    table = F.expr("array(" + ", ".join(f"split('{g}', ' ')" for g in escaped) + ")")
-    return lambda word: F.array_contains(
-        F.get(table, (F.crc32(word.cast("binary")) % count).cast("int")), word
-    )
+    groups, group_of = _groups(sorted({w for w in words if w and " " not in w}))
+    table = _literal(groups)
+    return lambda word: F.array_contains(F.get(table, group_of(word)), word)
+
+
+def word_map(texts: dict[str, str]) -> Callable[[Column], Column]:
+    """The text listed for a word, or null; the same way as word_set."""
+    groups, group_of = _groups(sorted(texts))
+    keys, values = _literal(groups), _literal([[texts[w] for w in g] for g in groups])
+
+    def find(word: Column) -> Column:
+        at = F.array_position(F.get(keys, group_of(word)), word).cast("int") - 1
+        return F.get(F.get(values, group_of(word)), at)
+
+    return find

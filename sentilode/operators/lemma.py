@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sentilode.functions.arrays import let
+from sentilode.functions.arrays import let, word_map
 from sentilode.operators.scale import lookup_join
 from sentilode.session import materialize
 
+# Up to this many changed words are looked up inside the row instead of being joined.
+IN_ROW_LEMMAS = 100_000
+
 # The published suffix rules per part of speech (noun, verb, adjective, adverb).
 SUFFIX_RULES = {
     "n": [("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"),
@@ -124,9 +127,25 @@ def changed_lemmas(
 
 
 def lemmatize_tokens(
-    df: DataFrame, key: Sequence[str], tokens: str, changed: DataFrame, name: str = "lemmatized"
+    df: DataFrame,
+    key: Sequence[str],
+    tokens: str,
+    changed: DataFrame,
+    name: str = "lemmatized",
+    in_row: int = IN_ROW_LEMMAS,
 ) -> DataFrame:
-    """(key, lemmas in token order). A group is the tokens of one row, which was one array before."""
+    """(key, lemmas in token order) by the table `changed` (term, lemma) of distinct terms.
+
+    Up to `in_row` changes go into the plan and are looked up inside the row,
+    without a shuffle. More are joined to the tokens, which then come together
+    again by key; such a group is the tokens of one row, one array before.
+    """
+    few = changed.limit(in_row + 1).collect()
+    if len(few) <= in_row and not any(" " in r["term"] + r["lemma"] for r in few):
+        lemma_of = word_map({r["term"]: r["lemma"] for r in few})
+        return df.select(
+            *key, F.transform(tokens, lambda w: F.coalesce(lemma_of(w), w)).alias(name)
+        )
     words = df.select(*key, F.posexplode_outer(tokens).alias("_at", "term"))
     words = lookup_join(words, changed, "term").select(
         *key, "_at", F.coalesce("lemma", "term").alias("_word")

@@ -68,8 +68,9 @@ def test_lemmas(spark, pos):
 
     table = spark.createDataFrame([(r["term"], r["lemma"]) for r in changed], "term string, lemma string")
     no_empty = tokens.select("id", F.filter("t", lambda w: w != "").alias("t"))
-    applied = lemma.lemmatize_tokens(no_empty, ["id"], "t", table)
-    assert {r["id"]: r["lemmatized"] for r in applied.collect()} == in_row
+    for limit in (lemma.IN_ROW_LEMMAS, -1):  # inside the row, and by a join
+        applied = lemma.lemmatize_tokens(no_empty, ["id"], "t", table, in_row=limit)
+        assert {r["id"]: r["lemmatized"] for r in applied.collect()} == in_row
 
 
 def test_tags_choose_the_rules(spark):

@@ -7,7 +7,7 @@ from pyspark.ml.feature import NGram, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
 from sentilode.functions import patterns as P, text as tx
-from sentilode.functions.arrays import count_terms, ngrams, word_set
+from sentilode.functions.arrays import count_terms, ngrams, word_map, word_set
 from sentilode.functions.labels import recode_label, replace_label, sentiment_name
 from sentilode.plans.denoise import denoise_tokens
 
@@ -101,6 +101,15 @@ def test_word_set(spark):
     assert got == [True] * len(words) + [False] * 3
 
 
+def test_word_map(spark):
+    texts = {f"w{i}é": f"t{i}'" for i in range(300)} | {"it's": "back\\slash"}
+    find = word_map(texts)
+    asked = list(texts) + ["", "none"]
+    got = one(spark, lambda c: F.transform(c, find), asked, "array<string>")
+    assert got == list(texts.values()) + [None, None]
+    assert one(spark, lambda c: F.transform(c, word_map({})), ["a", ""], "array<string>") == [None, None]
+
+
 def test_labels(spark):
     rows = spark.createDataFrame([(4,), (0,), (2,), (None,)], "t int")
     assert [r[0] for r in rows.select(recode_label(F.col("t"))).collect()] == [1, 0, 0, 0]
