@@ -9,9 +9,11 @@ from sentilode.checks import sql as S
 from sentilode.checks.bayes import GRID, report_sql
 from sentilode.checks.registry import query
 from sentilode.checks.tables import LEXICON_COUNT, document_terms, labelled, load
+from sentilode.checks.weights import bigram_ctes
 from sentilode.functions import text as tx
 from sentilode.operators import metrics, sampling
 from sentilode.operators.features import vocabulary
+from sentilode.operators.scale import lookup_join
 from sentilode.plans import training
 from sentilode.session import scratch_path
 from sentilode.sources import messages as msg, results as res
@@ -137,7 +139,7 @@ def vector_indexer(spark, sf_dir):
     indexer = VectorIndexer(inputCol="features", outputCol="indexed", maxCategories=20).fit(weighted)
     terms = spark.createDataFrame(list(enumerate(counter.vocabulary)), "index int, term string")
     entries = _entries(indexer.transform(weighted), "indexed").filter(F.col("value") != 0)
-    return entries.join(F.broadcast(terms), "index").select(
+    return lookup_join(entries, terms, "index", "inner").select(
         "doc_id", "term", F.round("value", 6).alias("value")
     )
 
@@ -170,6 +172,31 @@ def cv_best(spark, sf_dir):
     return spark.createDataFrame(lines, "smoothing double, accuracy double, best boolean")
 
 
+def _out_of_fold(spark, sf_dir, name: str):
+    """Out-of-fold predictions on 1- and 2-gram weights that were learned from all rows."""
+    rows = labelled(spark, sf_dir)
+    folds = sampling.assign_folds(rows.select("doc_id", "label"), 5, "doc_id").select("doc_id", "fold")
+    vectors = training.bigram_vectors(rows.join(folds, "doc_id"), F.col("text"), "doc_id", "label", "fold")
+    return training.out_of_fold(vectors, training.classifier(name), "fold", 5).select(
+        "doc_id", "label", "fold", F.col("prediction").cast("int").alias("prediction")
+    )
+
+
+@query(
+    "oof_nb_bigram",
+    f"WITH {S.LABELLED}, {bigram_ctes('labelled')}, pairs AS (SELECT doc_id, term, weight AS tf FROM unit), "
+    f"{S.FOLDS}, {S.naive_bayes(buckets='(SELECT count(*) FROM kept)', weighted=True)} "
+    "SELECT doc_id, label, run AS fold, prediction FROM pred",
+)
+def oof_nb_bigram(spark, sf_dir):
+    return _out_of_fold(spark, sf_dir, "naive_bayes")
+
+
+@query("oof_svc_bigram")
+def oof_svc_bigram(spark, sf_dir):
+    return _out_of_fold(spark, sf_dir, "linear_svc")
+
+
 @query(
     "stream_score",
     f"WITH RECURSIVE {LEMMAS}, "

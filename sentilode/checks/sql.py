@@ -176,11 +176,12 @@ def murmur3(terms: str, buckets: int) -> str:
       hashed AS (SELECT term, CAST(xor(x, x >> 16) % {buckets} AS INTEGER) AS bucket FROM final2)"""
 
 
-def naive_bayes(smoothings=(1.0,), buckets: int | None = None) -> str:
+def naive_bayes(smoothings=(1.0,), buckets: int | str | None = None, weighted: bool = False) -> str:
     """pred(run, doc_id, label, s, raw0, raw1, prediction) and theta(run, label, s, term, idf, theta)
 
     from train(run, doc_id, label), test(run, doc_id, label), pairs(doc_id, term, tf).
-    With `buckets` the terms are hash buckets: all of them are features, seen in training or not.
+    With `buckets` that many features exist, seen in training or not. If `weighted`, tf is a
+    ready weight and takes no idf.
     """
     if buckets is None:
         seen, features = "seen JOIN sizes USING (run)", "count(*)"
@@ -190,6 +191,7 @@ def naive_bayes(smoothings=(1.0,), buckets: int | None = None) -> str:
             "LEFT JOIN seen USING (run, term))"
         )
         features = str(buckets)
+    idf = "1.0" if weighted else "ln((m + 1.0) / (count(tf) + 1))"
 
     def log(x: str) -> str:
         return f"CASE WHEN {x} > 0 THEN ln({x}) ELSE CAST('-infinity' AS DOUBLE) END"
@@ -205,7 +207,7 @@ def naive_bayes(smoothings=(1.0,), buckets: int | None = None) -> str:
               FROM sizes z, (VALUES (0), (1)) c(label)) z JOIN grid g ON g.label = z.label),
       seen AS (SELECT t.run, t.label, p.term, p.tf FROM train t JOIN pairs p USING (doc_id)),
       weights AS (
-        SELECT run, term, ln((m + 1.0) / (count(tf) + 1)) AS idf,
+        SELECT run, term, {idf} AS idf,
                CAST(coalesce(sum(tf) FILTER (label = 0), 0) AS DOUBLE) AS n0,
                CAST(coalesce(sum(tf) FILTER (label = 1), 0) AS DOUBLE) AS n1
         FROM {seen} GROUP BY run, term, m),

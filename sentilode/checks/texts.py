@@ -172,19 +172,34 @@ def denoise_documents(spark, sf_dir):
     )
 
 
+ONE = "one AS (SELECT doc_id, text FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 1)"
+
+
 @query(
     "inspect_one",
-    "WITH one AS (SELECT doc_id, text FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 1) "
+    f"WITH RECURSIVE {TERMS}, {LEXICON}, {NOUNS}, {S.lemma_ctes('nouns', 'lexicon')}, {ONE}, "
+    f"lemmas AS ({JOINED_LEMMAS.format(name='lemmatized', docs='one', toks='toks')}) "
     f"SELECT doc_id, {S.clean('text')} AS tweet, {_sql_joined(S.tokenize(S.clean('text')))} AS words, "
-    f"{_sql_joined(S.model_tokens('text'))} AS filtered FROM one",
+    f"{_sql_joined(S.model_tokens('text'))} AS filtered, lemmatized FROM one JOIN lemmas USING (doc_id)",
 )
 def inspect_one(spark, sf_dir):
     """One row through all the stages."""
-    one = sampling.sample_n(load(spark, sf_dir, "documents").select("doc_id", "text"), 1, "doc_id")
     tweet = tx.clean(F.col("text"))
-    return one.select(
+    one = sampling.sample_n(documents(spark, sf_dir), 1, "doc_id").select(
         "doc_id",
         tweet.alias("tweet"),
-        _joined(tx.tokenize(tweet)).alias("words"),
-        _joined(tx.model_tokens(F.col("text"))).alias("filtered"),
+        tx.tokenize(tweet).alias("words"),
+        tx.model_tokens(F.col("text")).alias("filtered"),
+    )
+    one = materialize(one, "one")
+    words = one.select(F.explode("filtered").alias("term")).distinct()
+    lexicon = corpus_lexicon(spark, document_terms(spark, sf_dir))
+    changed = materialize(
+        lemma.changed_lemmas(words, lexicon, lemma.irregular_table(spark), "n"), "noun-lemmas"
+    )
+    lemmas = lemma.lemmatize_tokens(one, ["doc_id", "tweet", "words", "filtered"], "filtered", changed)
+    return lemmas.select(
+        "doc_id", "tweet", _joined(F.col("words")).alias("words"),
+        _joined(F.col("filtered")).alias("filtered"),
+        F.array_join("lemmatized", " ").alias("lemmatized"),
     )

@@ -69,16 +69,23 @@ def tfidf_corpus_scope(spark, sf_dir):
     return _tfidf(spark, sf_dir, whole=True)
 
 
+def bigram_ctes(docs: str) -> str:
+    """kept(term, idf) and unit(doc_id, term, weight) of a relation with doc_id and text."""
+    return (
+        f"words AS (SELECT doc_id, regexp_extract_all(lower(text), {S.quoted(P.VECTOR_WORD)}, 1) AS k FROM {docs}), "
+        "grams AS (SELECT doc_id, unnest(list_concat(k, list_transform(range(1, len(k)), "
+        "lambda i: k[i] || ' ' || k[i + 1]))) AS term FROM words), "
+        "counts AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term), "
+        f"kept AS (SELECT term, ln(((SELECT count(*) FROM {docs}) + 1.0) / (count(*) + 1)) + 1 AS idf "
+        "FROM counts GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 5000), "
+        "w AS (SELECT doc_id, term, tf * idf AS w FROM counts JOIN kept USING (term)), "
+        "unit AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w)"
+    )
+
+
 @query(
     "tfidf_bigram_l2",
-    f"WITH words AS (SELECT doc_id, regexp_extract_all(lower(text), {S.quoted(P.VECTOR_WORD)}, 1) AS k FROM documents), "
-    "grams AS (SELECT doc_id, unnest(list_concat(k, list_transform(range(1, len(k)), "
-    "lambda i: k[i] || ' ' || k[i + 1]))) AS term FROM words), "
-    "pairs AS (SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term), "
-    "kept AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1)) + 1 AS idf "
-    "FROM pairs GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 5000), "
-    "w AS (SELECT doc_id, term, tf * idf AS w FROM pairs JOIN kept USING (term)) "
-    "SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w",
+    f"WITH {bigram_ctes('documents')} SELECT doc_id, term, round(weight, 6) AS weight FROM unit",
 )
 def tfidf_bigram_l2(spark, sf_dir):
     docs = documents(spark, sf_dir)

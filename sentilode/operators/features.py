@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sentilode.functions.arrays import count_terms, ngrams
+from sentilode.functions.arrays import count_terms, let, ngrams
 from sentilode.functions.text import vector_words
 from sentilode.operators.scale import lookup_join, top_k
 from sentilode.session import materialize
@@ -62,16 +62,22 @@ def tfidf(counted: DataFrame, weights: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def bigram_terms(text: Column) -> Column:
+    """The words of a text and its pairs of neighbours."""
+    return let(vector_words(text), lambda words: F.concat(words, ngrams(words, 2)))
+
+
+def bigram_weights(counted: DataFrame, size: int = 5000) -> DataFrame:
+    """(term, idf) of the `size` most frequent terms, written once."""
+    stats = materialize(term_stats(counted), "gram-stats")
+    weight = idf_weight(F.col("df"), F.lit(counted.count())) + 1
+    return materialize(vocabulary(stats, size).select("term", weight.alias("idf")), "gram-idf")
+
+
 def tfidf_bigrams_l2(docs: DataFrame, key: str, text: Column, size: int = 5000) -> DataFrame:
     """(key, term, weight): 1- and 2-grams, the `size` most frequent, rows of length 1."""
-    words = docs.select(key, vector_words(text).alias("words"))
-    grams = F.concat(F.col("words"), ngrams(F.col("words"), 2))
-    counted = materialize(with_counts(words, grams, key), "gram-counts")
-    documents = counted.count()
-    kept = vocabulary(materialize(term_stats(counted), "gram-stats"), size)
-    weights = materialize(
-        kept.select("term", (idf_weight(F.col("df"), F.lit(documents)) + 1).alias("idf")), "gram-idf"
-    )
+    counted = materialize(with_counts(docs, bigram_terms(text), key), "gram-counts")
+    weights = bigram_weights(counted, size)
     of_doc = Window.partitionBy(key)  # at most `size` rows
     return tfidf(counted, weights, key).select(
         key, "term", (F.col("weight") / F.sqrt(F.sum(F.col("weight") ** 2).over(of_doc))).alias("weight")

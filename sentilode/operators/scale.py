@@ -53,7 +53,9 @@ def lookup_join(
 
     A table of measured size within `max_bytes` is broadcast. Beyond it, the
     most frequent keys are joined by broadcasting their rows alone, and only
-    the rest of the facts is shuffled, so no task gets a hot key.
+    the rest of the facts is shuffled, so no task gets a hot key. The table is
+    read to measure it, and the facts more than once beyond the bound, so both
+    should be written tables if they are costly.
     """
     if measured_bytes(table) <= max_bytes:
         return facts.join(F.broadcast(table), key, how)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
@@ -15,16 +15,20 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
+    ElementwiseProduct,
     HashingTF,
     NGram,
+    Normalizer,
     StopWordsRemover,
     Tokenizer,
     VectorIndexer,
 )
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
-from sentilode.operators.features import VOCABULARY_SIZE
+from sentilode.operators.features import VOCABULARY_SIZE, bigram_terms, bigram_weights, with_counts
 from sentilode.operators.stages import Lemmatizer, TextCleaner
 from sentilode.session import materialize
 
@@ -93,17 +97,29 @@ def pipeline(
     )
 
 
-def train(estimator: Pipeline, rows: DataFrame) -> PipelineModel:
-    """Fit on `rows`. The stages that learn nothing run once, not in every pass of the others."""
-    learned_from = next(
-        i for i, s in enumerate(estimator.getStages()) if isinstance(s, (CountVectorizer, NGram))
-    )
-    fixed, learned = estimator.getStages()[:learned_from], estimator.getStages()[learned_from:]
-    tokens = rows
-    for stage in fixed:
-        tokens = stage.transform(tokens)
-    tokens = materialize(tokens.select("label", "lemmatized"), "training-tokens")
-    return PipelineModel(stages=[*fixed, *Pipeline(stages=learned).fit(tokens).stages])
+def transform(stages: Sequence[Transformer], rows: DataFrame) -> DataFrame:
+    for stage in stages:
+        rows = stage.transform(rows)
+    return rows
+
+
+def train(estimator: Pipeline, rows: DataFrame, corpus: DataFrame | None = None) -> PipelineModel:
+    """Fit on `rows`. The stages that learn nothing run once, not in every pass of the others.
+
+    With `corpus` the features are learned from those rows, such as all rows
+    before the split, and only the classifier from `rows`.
+    """
+    stages = estimator.getStages()
+    learned_from = next(i for i, s in enumerate(stages) if isinstance(s, (CountVectorizer, NGram)))
+    fixed, features, model = stages[:learned_from], stages[learned_from:-1], stages[-1]
+    tokens = materialize(transform(fixed, rows).select("label", "lemmatized"), "training-tokens")
+    if corpus is None:
+        return PipelineModel(
+            stages=[*fixed, *Pipeline(stages=[*features, model]).fit(tokens).stages]
+        )
+    wide = materialize(transform(fixed, corpus).select("lemmatized"), "corpus-tokens")
+    learned = Pipeline(stages=features).fit(wide)
+    return PipelineModel(stages=[*fixed, *learned.stages, model.fit(learned.transform(tokens))])
 
 
 def cross_validate(
@@ -122,10 +138,7 @@ def cross_validate(
     Gives the model on tokens and the token stages to run before it.
     """
     fixed = token_stages(lexicon, text, expand_contractions)
-    tokens = rows
-    for stage in fixed:
-        tokens = stage.transform(tokens)
-    tokens = materialize(tokens.select("label", fold, "lemmatized"), "cv-tokens")
+    tokens = materialize(transform(fixed, rows).select("label", fold, "lemmatized"), "cv-tokens")
     bayes = classifier("naive_bayes")
     found = CrossValidator(
         estimator=Pipeline(stages=[*feature_stages(features), bayes]),
@@ -138,3 +151,28 @@ def cross_validate(
         parallelism=parallelism,
     ).fit(tokens)
     return found, fixed
+
+
+def bigram_vectors(docs: DataFrame, text: Column, *keep: str, size: int = 5000) -> DataFrame:
+    """(keep, features): 1- and 2-gram weights of length 1, learned from all of `docs`."""
+    grams = materialize(docs.select(*keep, bigram_terms(text).alias("grams")), "grams")
+    learned = bigram_weights(with_counts(grams, F.col("grams")), size).orderBy("term").collect()  # `size` rows
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in learned], "grams", "tf")
+    scale = ElementwiseProduct(
+        scalingVec=Vectors.dense([r["idf"] for r in learned]), inputCol="tf", outputCol="weights"
+    )
+    unit = Normalizer(p=2.0, inputCol="weights", outputCol="features")
+    return transform([counter, scale, unit], grams).select(*keep, "features")
+
+
+def out_of_fold(rows: DataFrame, estimator: Estimator, fold: str, folds: int) -> DataFrame:
+    """Every row of (features, label, fold) predicted once, by a model that did not see its fold."""
+    rows = materialize(rows, "fold-rows")
+    parts = []
+    for f in range(folds):
+        model = estimator.fit(rows.filter(F.col(fold) != f))
+        parts.append(model.transform(rows.filter(F.col(fold) == f)).select(*rows.columns, "prediction"))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole

@@ -85,20 +85,26 @@ def subscribe(
     path: str | None = None,
     starting_offsets: str = "earliest",
     files_per_trigger: int | None = None,
+    offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The message log as a stream from its start; a checkpoint remembers how far a query got."""
+    """The message log as a stream from its start; a checkpoint remembers how far a query got.
+
+    The limits per trigger keep the first batches of a long log small.
+    """
     if path is not None:
         reader = spark.readStream.schema(MESSAGE_SCHEMA)
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
         return reader.parquet(path)
-    return (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .load()
     )
+    if offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", offsets_per_trigger)
+    return reader.load()
 
 
 def decode(df: DataFrame) -> DataFrame:

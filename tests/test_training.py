@@ -70,6 +70,15 @@ def test_train_is_the_plain_pipeline_fit(rows, model):
     )
 
 
+def test_features_learned_from_a_wider_corpus(rows):
+    train = rows.filter("doc_id % 2 = 0")
+    estimator = training.pipeline("naive_bayes", LEXICON)
+    wide, narrow = training.train(estimator, train, corpus=rows), training.train(estimator, train)
+    assert wide.stages[-1].theta.numRows == narrow.stages[-1].theta.numRows == 2
+    assert set(narrow.stages[-3].vocabulary) < set(wide.stages[-3].vocabulary)
+    assert wide.stages[-2].numDocs == rows.count() and narrow.stages[-2].numDocs == train.count()
+
+
 def test_contractions_are_part_of_the_saved_model(spark, tmp_path):
     stage = TextCleaner(inputCol="text", outputCol="tweet", expandContractions=True)
     res.save_model(stage, str(tmp_path / "s"))
