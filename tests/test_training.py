@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from sentilode.checks import tables
 from sentilode.functions.text import model_tokens
-from sentilode.operators import bayes, features, sampling
+from sentilode.operators import bayes, features, metrics, sampling
 from sentilode.operators.stages import Lemmatizer, TextCleaner
 from sentilode.plans import training
-from sentilode.sources import messages as msg, results as res
+from sentilode.sources import corpus, messages as msg, results as res
 from sentilode.streaming import score as st
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -43,7 +43,7 @@ def keyed(df):
     return sorted((r["key"], r["value"], r["sentiment"]) for r in df.collect())
 
 
-def test_fixed_settings():
+def test_fixed_settings(spark):
     def get(name, *params):
         c = training.classifier(name)
         return tuple(c.getOrDefault(p) for p in params)
@@ -176,3 +176,19 @@ def test_messages_without_text_are_not_scored(spark, model):
     rows = spark.createDataFrame([(bytearray(b"0"), None), (None, bytearray(b"good day"))], msg.MESSAGE_SCHEMA)
     got = st.score(model, rows).collect()
     assert [(r["key"], r["value"]) for r in got] == [(None, "good day")]
+
+
+def test_from_csv_to_scored_messages(spark, log, tmp_path):
+    """The example of the README, with files in place of a topic."""
+    lines = "\n".join(f'{4 * (i % 2)},{i},d,f,u,"{"good" if i % 2 else "bad"} day {i}"' for i in range(200))
+    (tmp_path / "corpus.csv").write_text(lines, encoding="latin-1")
+    rows = corpus.project_labelled(corpus.read_corpus_latin1(spark, str(tmp_path / "corpus.csv")))
+    train, test = sampling.split(rows, 0.8, seed=7)
+    model = training.train(training.pipeline("linear_svc", LEXICON, text="tweet"), train)
+    counts = metrics.outcome_counts(model.transform(test))
+    assert metrics.accuracy(counts).first()["accuracy"] == 1.0
+    res.write_report(str(tmp_path / "report"), matrix=metrics.confusion_matrix(counts))
+    res.save_model(model, str(tmp_path / "model"))
+    scored = st.score(res.load_pipeline(str(tmp_path / "model")), msg.subscribe(spark, path=log), "tweet")
+    st.write_results(scored, str(tmp_path / "results"), str(tmp_path / "progress"), available_now=True).awaitTermination()
+    assert res.read_results(spark, str(tmp_path / "results")).count() == spark.read.parquet(log).count()
