@@ -66,10 +66,16 @@ def _groups(words: list[str]) -> tuple[list[list[str]], Callable[[Column], Colum
     return groups, lambda word: (F.crc32(word.cast("binary")) % count).cast("int")
 
 
-def _literal(groups: Iterable[Iterable[str]]) -> Column:
+def _literal(groups: Iterable[list[str]]) -> Column:
     """array<array<string>> as one literal; the words must not contain a space."""
-    escaped = [" ".join(g).replace("\\", "\\\\").replace("'", "\\'") for g in groups]
-    return F.expr("array(" + ", ".join(f"split('{g}', ' ')" for g in escaped) + ")")
+
+    def cell(group: list[str]) -> str:
+        if not group:
+            return "cast(array() AS array<string>)"
+        text = " ".join(group).replace("\\", "\\\\").replace("'", "\\'")
+        return f"split('{text}', ' ')"
+
+    return F.expr("array(" + ", ".join(map(cell, groups)) + ")")
 
 
 def word_set(words: Iterable[str]) -> Callable[[Column], Column]:

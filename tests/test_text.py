@@ -99,6 +99,7 @@ def test_word_set(spark):
     asked = words + ["", "w500é", "it"]
     got = one(spark, lambda c: F.transform(c, test), asked, "array<string>")
     assert got == [True] * len(words) + [False] * 3
+    assert one(spark, lambda c: F.transform(c, word_set([])), ["a", ""], "array<string>") == [False, False]
 
 
 def test_word_map(spark):
