@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from sentilode.checks import sql as S
 from sentilode.checks.registry import query
 from sentilode.checks.tables import (
-    LEXICON_COUNT, corpus_lexicon, decorated, document_terms, documents, load,
+    LEXICON_COUNT, corpus_lexicon, decorated, document_terms, documents,
 )
 from sentilode.functions import patterns as P, text as tx
 from sentilode.functions.arrays import ngrams

@@ -55,10 +55,13 @@ class BayesModel:
         sums are complete before the shuffle. Unknown terms are ignored; a
         document without a known term gets the prior.
         """
-        rows = lookup_join(term_rows(counted, *keep), self.terms, "term")
+        cells = len(self.smoothings) * len(self.classes)
+        per_term = len(self.priors) * 8 * (cells + 8)
+        rows = lookup_join(
+            term_rows(counted, *keep), self.terms, "term", array_bytes=per_term
+        )
         at = F.col(view) if view else F.lit(0)
         v = F.get("views", at)
-        cells = len(self.smoothings) * len(self.classes)
         rows = rows.select(*keep, "tf", v["idf"].alias("idf"), v["theta"].alias("theta"))
         # A weight of zero adds nothing, whatever theta is.
         parts = [
@@ -161,32 +164,31 @@ def fit(
     if corpus is not None:
         stats = materialize(stats, "bayes-corpus-counts")
 
-    # The vocabulary of each view, cut at its size by count and then by term.
-    sizes_found = stats.agg(
-        *[F.count_if(F.col(f"df{i}") > 0).alias(f"v{i}") for i in range(len(views))]
-    ).first()
-    member = []
-    for i in range(len(views)):
-        present = F.col(f"df{i}") > 0
-        if sizes_found[f"v{i}"] > vocabulary_size:
-            cf = F.col(f"cf{i}")
-            last = (
-                top_k(stats.filter(present), vocabulary_size, cf, [cf.desc(), F.col("term")])
-                .orderBy(cf, F.desc("term"))
-                .first()
-            )
-            edge = last[f"cf{i}"]
-            present = present & ((cf > edge) | ((cf == edge) & (F.col("term") <= last["term"])))
-        member.append(present)
     weight = [idf_weight(F.col(f"df{i}"), F.lit(documents[i])) for i in range(len(views))]
-    totals = stats.agg(
-        *[F.count_if(m).alias(f"v{i}") for i, m in enumerate(member)],
-        *[
-            F.coalesce(F.sum(F.when(m, weight[i] * F.col(f"n{i}_{j}"))), F.lit(0.0)).alias(f"w{i}_{j}")
-            for i, m in enumerate(member)
-            for j in range(len(classes))
-        ],
-    ).first()
+
+    def sums(member: Sequence[Column]):
+        """Size of each view's vocabulary, and its weight per class."""
+        return stats.agg(
+            *[F.count_if(m).alias(f"v{i}") for i, m in enumerate(member)],
+            *[
+                F.coalesce(F.sum(F.when(m, weight[i] * F.col(f"n{i}_{j}"))), F.lit(0.0)).alias(f"w{i}_{j}")
+                for i, m in enumerate(member)
+                for j in range(len(classes))
+            ],
+        ).first()
+
+    # The vocabulary of each view; a larger one is cut by count and then by term.
+    member = [F.col(f"df{i}") > 0 for i in range(len(views))]
+    totals = sums(member)
+    larger = [i for i in range(len(views)) if totals[f"v{i}"] > vocabulary_size]
+    for i in larger:
+        cf = F.col(f"cf{i}")
+        kept_terms = top_k(stats.filter(member[i]), vocabulary_size, cf, [cf.desc(), F.col("term")])
+        last = kept_terms.orderBy(cf, F.desc("term")).first()
+        edge = last[f"cf{i}"]
+        member[i] &= (cf > edge) | ((cf == edge) & (F.col("term") <= last["term"]))
+    if larger:
+        totals = sums(member)
 
     def theta(i: int, smoothing: float, j: int) -> Column:
         below = totals[f"w{i}_{j}"] + totals[f"v{i}"] * smoothing

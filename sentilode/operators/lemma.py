@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.functions.arrays import let, word_map
 from sentilode.operators.scale import lookup_join
-from sentilode.session import materialize
 
 # Up to this many changed words are looked up inside the row instead of being joined.
 IN_ROW_LEMMAS = 100_000
@@ -100,26 +99,35 @@ def candidates(word: Column, irregular: Column, pos: str) -> Column:
 
 
 def changed_lemmas(
-    vocabulary: DataFrame, lexicon: DataFrame, exceptions: DataFrame, pos: str, term: str = "term"
+    vocabulary: DataFrame,
+    lexicon: DataFrame,
+    exceptions: DataFrame,
+    pos: str | None = None,
+    term: str = "term",
 ) -> DataFrame:
     """(term, lemma) for the distinct terms whose lemma is another word.
 
-    Of a term's candidates those in the lexicon count: the earliest pass, then
-    the shortest, then the first wins. A term without any keeps its form.
+    All terms have the part of speech `pos`, or each the one in its column
+    `pos`. Of a term's candidates those in the lexicon count: the earliest
+    pass, then the shortest, then the first wins. A term without any keeps its form.
     """
-    irregular = (
-        exceptions.filter(F.col("pos") == pos)
-        .groupBy(F.col("form").alias(term))
-        .agg(F.sort_array(F.collect_set("lemma")).alias("_irregular"))
-    )
-    known = lexicon.filter(F.col("pos") == pos).select(F.col("lemma").alias("form")).distinct()
-    tried = (
-        vocabulary.select(term)
-        .join(irregular, term, "left")
-        .select(term, F.inline_outer(candidates(F.col(term), F.col("_irregular"), pos)))
+    words = vocabulary.select(term, F.lit(pos).alias("pos") if pos else F.col("pos"))
+    if pos:
+        lexicon, exceptions = (t.filter(F.col("pos") == pos) for t in (lexicon, exceptions))
+    irregular = exceptions.groupBy("pos", F.col("form").alias(term)).agg(
+        F.sort_array(F.collect_set("lemma")).alias("_irregular")
     )
+    known = lexicon.select("pos", F.col("lemma").alias("form")).distinct()
+    tried = candidates(F.col(term), F.col("_irregular"), pos or "n")
+    if pos is None:
+        for other in ("v", "a", "r"):
+            tried = F.when(
+                F.col("pos") == other, candidates(F.col(term), F.col("_irregular"), other)
+            ).otherwise(tried)
     best = (
-        tried.join(known, "form", "left_semi")
+        words.join(irregular, ["pos", term], "left")
+        .select("pos", term, F.inline_outer(tried))
+        .join(known, ["pos", "form"], "left_semi")
         .groupBy(term)
         .agg(F.min_by("form", F.struct("pass", "length", "rank")).alias("lemma"))
     )
@@ -164,12 +172,7 @@ def tagged_changes(
     pos = F.when(initial == "J", "a").when(initial == "V", "v").when(initial == "R", "r").otherwise("n")
     one_tag = tags.groupBy(F.col("token").alias("term")).agg(F.min("tag").alias("tag"))
     tagged = vocabulary.select("term").join(one_tag, "term", "left").select("term", pos.alias("pos"))
-    tagged = materialize(tagged, "tagged-terms")
-    parts = [
-        changed_lemmas(tagged.filter(F.col("pos") == p), lexicon, exceptions, p)
-        for p in SUFFIX_RULES
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return changed_lemmas(tagged, lexicon, exceptions)
 
 
 def irregular_table(spark) -> DataFrame:

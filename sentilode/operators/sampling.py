@@ -44,7 +44,11 @@ def sample_n(df: DataFrame, n: int, key: str) -> DataFrame:
 def split(
     df: DataFrame, fraction: float, key: str | None = None, seed: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Two parts that together are the whole; the first gets about `fraction` of the rows."""
+    """Two parts that together are the whole; the first gets about `fraction` of the rows.
+
+    Prefer a key. With a seed the rows must come in the same parts each time
+    they are read, as they do from files.
+    """
     if key is not None:
         first = in_fraction(key, fraction)
         return df.filter(first), df.filter(~first)

@@ -28,17 +28,22 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key)
 
 
-def measured_bytes(table: DataFrame) -> int:
-    """The size of a table's values in memory, from one aggregate over it."""
+def measured_bytes(table: DataFrame, array_bytes: int | None = None) -> int:
+    """The size of a table's values in memory, from one aggregate over it.
+
+    `array_bytes` is the size of a row's array columns if all rows have the same.
+    """
 
     def width(field: T.StructField) -> Column:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             return F.coalesce(F.octet_length(field.name), F.lit(0)) + 24
+        if isinstance(field.dataType, T.ArrayType) and array_bytes is not None:
+            return F.lit(0)
         if isinstance(field.dataType, T.ArrayType):
             return F.length(F.to_json(F.struct(field.name))) + 24
         return F.lit(16)
 
-    row = reduce(lambda a, b: a + b, [width(f) for f in table.schema.fields], F.lit(32))
+    row = reduce(lambda a, b: a + b, [width(f) for f in table.schema.fields], F.lit(32 + (array_bytes or 0)))
     return table.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0))).first()[0]
 
 
@@ -48,6 +53,7 @@ def lookup_join(
     key: str,
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
+    array_bytes: int | None = None,
 ) -> DataFrame:
     """Join a fact table with a table that has one row per key.
 
@@ -57,7 +63,7 @@ def lookup_join(
     read to measure it, and the facts more than once beyond the bound, so both
     should be written tables if they are costly.
     """
-    if measured_bytes(table) <= max_bytes:
+    if measured_bytes(table, array_bytes) <= max_bytes:
         return facts.join(F.broadcast(table), key, how)
     counts = materialize(
         facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), "key-counts"

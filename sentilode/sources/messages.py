@@ -21,22 +21,25 @@ def sequence_key(df: DataFrame, order_by: Sequence[str], name: str = "key") -> D
 def file_sequence_key(df: DataFrame, name: str = "key") -> DataFrame:
     """Add the running index of each row in file order, for a DataFrame read straight from files.
 
-    No row is shuffled: a first pass counts the rows of each block, the second
-    adds the rows of earlier blocks to a row's place in its own block.
+    No row is shuffled. The rows are written with their place in their block,
+    so that it stays the same when a task is run again; the rows of earlier
+    blocks are added to it.
     """
-    placed = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+    placed = materialize(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        ),
+        "file-rows",
     )
     earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = materialize(
-        placed.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n")),
-        "blocks",
-    )
-    blocks = blocks.select(
-        "_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    blocks = (
+        placed.groupBy("_file", "_block")
+        .agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .drop("_n")
     )
     return placed.join(blocks, ["_file", "_block"]).select(
         *df.columns, (F.col("_before") + F.col("_row") - F.col("_first")).cast("string").alias(name)

@@ -35,6 +35,9 @@ def test_measured_bytes_grows(spark):
     small = spark.range(10).select(F.col("id").cast("string").alias("s"))
     assert 0 < scale.measured_bytes(small) < scale.measured_bytes(small.union(small))
     assert scale.measured_bytes(small.filter("false")) == 0
+    arrays = small.select("s", F.array("s").alias("a"))
+    assert scale.measured_bytes(arrays) > scale.measured_bytes(small)
+    assert scale.measured_bytes(arrays, 100) == scale.measured_bytes(small) + 10 * 100
 
 
 @pytest.mark.parametrize("largest", [True, False])
