@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sentilode.llm import mixing, ordinal, pii, rules, sql, tokens, toxicity
+from sentilode.llm import mixing, ordinal, pii, repeats, rules, sql, tokens, toxicity, windows
 from sentilode.llm.common import load
 from sentilode.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (for the driver's contract)
 
@@ -14,6 +14,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(load(spark, sf_dir, "documents"))
 
 
+@query("op2_repeated_bytes")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(load(spark, sf_dir, "documents"))
+
+
 @query("op3_ordinal_quality")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
@@ -43,6 +48,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(load(spark, sf_dir, "documents"), public_vocabulary())
 
 
+@query("op8_repeated_windows")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.remove_repeated_windows(load(spark, sf_dir, "documents"))
+
+
 @query("op10_mixing", sql.MIXING)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(load(spark, sf_dir, "documents"))

@@ -2,21 +2,45 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(context: SparkContext) -> None:
+    """Give the executors this package, for sessions whose workers cannot import it; once per application."""
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="sentilode-package-")) / "sentilode.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[name] = run
+        @wraps(run)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark.sparkContext)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql is not None:
             ORACLES[name] = sql
-        return run
+        return shipped
 
     return register

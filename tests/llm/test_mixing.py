@@ -8,7 +8,7 @@ import pytest
 
 from oracle import connect, difference
 from sentilode.llm import mixing
-from sentilode.llm.registry import ORACLES, QUERIES
+from sentilode.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 

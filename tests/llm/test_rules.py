@@ -7,7 +7,7 @@ from collections import Counter
 
 from oracle import connect, difference
 from sentilode.llm import rules
-from sentilode.llm.registry import ORACLES, QUERIES
+from sentilode.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 

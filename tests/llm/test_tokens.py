@@ -54,7 +54,7 @@ def test_empty_table(spark, make_docs, tmp_path):
 
 
 def test_query(spark, plain):
-    from sentilode.llm.registry import QUERIES
+    from sentilode.llm.queries import QUERIES
 
     sf = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
