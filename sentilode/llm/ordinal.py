@@ -135,7 +135,9 @@ def train(
     rows = texts(known).join(drawn.select("doc_id", "grade"), "doc_id").select("doc_id", "text", "grade")
     fit = _fit(n_grades, fit_rows, fit_chars, lengths, bits, penalty, steps)
     found = rows.repartition(1).sortWithinPartitions("doc_id", "grade", "text").mapInArrow(fit, "model binary")
-    return pickle.loads(found.first()["model"])
+    row = found.first()
+    # Without any rows Spark may run no task.
+    return pickle.loads(row["model"] if row else next(fit(iter([]))).column("model")[0].as_py())
 
 
 def _score(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sentilode.llm import mixing, ordinal, pii, repeats, rules, sql, tokens, toxicity, windows
+from sentilode.llm import decontaminate, mixing, near, ordinal, pii, repeats, rules, sql, tokens, toxicity, windows
 from sentilode.llm.common import load
 from sentilode.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (for the driver's contract)
 
@@ -25,6 +25,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.grade(docs, ordinal.train(docs, ordinal.grades_of(load(spark, sf_dir, "labels"))))
 
 
+@query("op4_near_duplicates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
@@ -53,6 +58,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.remove_repeated_windows(load(spark, sf_dir, "documents"))
 
 
+@query("op9_benchmark_leaks")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 @query("op10_mixing", sql.MIXING)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(load(spark, sf_dir, "documents"))

@@ -164,33 +164,55 @@ def train(
     fit = _fit(ratio, lengths, bits, penalty, steps, fit_rows, fit_bytes)
     # One task: the rows are few by the parameter, and in a fixed order.
     found = drawn.select("doc_id", "text", "label").repartition(1).sortWithinPartitions("doc_id", "label").mapInArrow(fit, MODEL_SCHEMA)
-    model = pickle.loads(found.first()["model"])
+    row = found.first()
+    # Without any rows Spark may run no task.
+    model = pickle.loads(row["model"] if row else next(fit(iter([]))).column("model")[0].as_py())
     return model | {"lengths": lengths, "bits": bits}
 
 
+class Scorer:
+    """Scores of texts by a model, in one task."""
+
+    def __init__(self, model: dict) -> None:
+        self.presence = Presence(model["lengths"], model["bits"])
+        self.weights = np.zeros(1 << model["bits"], np.float64)
+        self.weights[model["used"]] = model["weights"]
+        # As in the fit: features that say next to nothing do not count in a text's length.
+        self.square = model["ratio"].astype(np.float64) ** 2
+        self.square[self.square <= 0.05**2] = 0.0
+        self.bias = model["bias"]
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        margins = []
+        for text in texts:
+            found = self.presence(text or "")
+            norm = np.sqrt(self.square[found].sum())
+            margins.append(self.weights[found].sum() / max(norm, 1e-12) + self.bias)
+        return sigmoid(np.array(margins, np.float64))
+
+
 def _score(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        presence = Presence(model["lengths"], model["bits"])
-        weights = np.zeros(1 << model["bits"], np.float64)
-        weights[model["used"]] = model["weights"]
-        square = model["ratio"].astype(np.float64) ** 2
+        scorer = Scorer(shared.value)
         for batch in slices(batches):
-            scores = []
-            for text in batch.column("text").to_pylist():
-                found = presence(text)
-                own = square[found]
-                own = own[own > 0.05**2]
-                norm = np.sqrt(own.sum())
-                scores.append(weights[found].sum() / max(norm, 1e-12) + model["bias"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sigmoid(np.array(scores, np.float64)), pa.float64())],
-                ["doc_id", "score"],
-            )
+            scores = scorer(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return run
 
 
+def drop_toxic(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, that score below `threshold`; a null text counts as empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in slices(batches):
+            yield batch.filter(pa.array(scorer(batch.column(text_col).to_pylist()) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) per input row, from the whole text alone.
 
