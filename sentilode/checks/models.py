@@ -8,24 +8,22 @@ from pyspark.sql import functions as F
 from sentilode.checks import sql as S
 from sentilode.checks.bayes import GRID, report_sql
 from sentilode.checks.registry import query
-from sentilode.checks.tables import LEXICON_COUNT, document_terms, labelled, load
+from sentilode.checks.tables import LEXICON_COUNT, document_terms, documents, labelled, load
 from sentilode.checks.weights import bigram_ctes
 from sentilode.functions import text as tx
 from sentilode.operators import metrics, sampling
-from sentilode.operators.features import vocabulary
 from sentilode.operators.scale import lookup_join
 from sentilode.plans import training
 from sentilode.session import scratch_path
 from sentilode.sources import messages as msg, results as res
-from sentilode.streaming.score import score, write_results
+from sentilode.streaming.score import write_scored
 
-# The lexicon of a pipeline is a parameter of fixed size: the words used most often.
-LEXICON_SIZE = 5000
-
-
-def lexicon(spark, sf_dir) -> list[str]:
-    top = vocabulary(document_terms(spark, sf_dir).filter(F.col("cf") >= LEXICON_COUNT), LEXICON_SIZE)
-    return [r["term"] for r in top.select("term").collect()]
+def lexicon(spark, sf_dir) -> str:
+    """The path of a table of all words that the documents use often."""
+    path = scratch_path(spark, "lexicon")
+    common = document_terms(spark, sf_dir).filter(F.col("cf") >= LEXICON_COUNT)
+    common.select(F.col("term").alias("lemma")).write.parquet(path)
+    return path
 
 
 def _split(spark, sf_dir):
@@ -51,7 +49,7 @@ LEMMAS = (
     "doc_terms AS (SELECT doc_id, term, count(*) AS tf FROM "
     "(SELECT doc_id, unnest(toks) AS term FROM doc_toks) GROUP BY doc_id, term), "
     f"lexicon AS (SELECT 'n' AS pos, term AS lemma FROM doc_terms GROUP BY term "
-    f"HAVING sum(tf) >= {LEXICON_COUNT} ORDER BY sum(tf) DESC, term LIMIT {LEXICON_SIZE})"
+    f"HAVING sum(tf) >= {LEXICON_COUNT})"
 )
 TRAIN = f"train AS (SELECT 0 AS run, doc_id, label FROM labelled WHERE {S.in_fraction('doc_id', 0.8)})"
 HELD_OUT = (
@@ -96,7 +94,7 @@ def random_forest(spark, sf_dir):
 
 
 def _tokens(spark, sf_dir):
-    return labelled(spark, sf_dir).select("doc_id", tx.model_tokens(F.col("text")).alias("lemmatized"))
+    return documents(spark, sf_dir).select("doc_id", tx.model_tokens(F.col("text")).alias("lemmatized"))
 
 
 def _entries(vectors, column: str):
@@ -112,7 +110,7 @@ BUCKETS = 1 << 18
 
 @query(
     "hashing_tf",
-    f"WITH {S.LABELLED}, {S.pairs(S.model_tokens('text'), 'labelled')}, {S.murmur3('pairs', BUCKETS)} "
+    f"WITH {S.pairs(S.model_tokens('text'), 'documents')}, {S.murmur3('pairs', BUCKETS)} "
     "SELECT doc_id, bucket, CAST(sum(tf) AS BIGINT) AS tf FROM pairs JOIN hashed USING (term) GROUP BY doc_id, bucket",
 )
 def hashing_tf(spark, sf_dir):
@@ -124,9 +122,9 @@ def hashing_tf(spark, sf_dir):
 
 @query(
     "vector_indexer",
-    f"WITH {S.LABELLED}, {S.pairs(S.model_tokens('text'), 'labelled')}, "
+    f"WITH {S.pairs(S.model_tokens('text'), 'documents')}, "
     "w AS (SELECT term, count(DISTINCT tf) AS kinds, "
-    "ln(((SELECT count(*) FROM labelled) + 1.0) / (count(*) + 1)) AS idf FROM pairs GROUP BY term) "
+    "ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1)) AS idf FROM pairs GROUP BY term) "
     "SELECT doc_id, term, round(CASE WHEN kinds < 20 THEN dense_rank() OVER (PARTITION BY term ORDER BY tf) "
     "ELSE tf * idf END, 6) AS value FROM pairs JOIN w USING (term) WHERE idf <> 0",
 )
@@ -223,6 +221,6 @@ def stream_score(spark, sf_dir):
     )
     msg.publish(msg.messages(load(spark, sf_dir, "conversations"), ["conv_id", "turn"]), path=f"{where}/log")
     stream = msg.subscribe(spark, path=f"{where}/log")
-    scored = score(res.load_pipeline(f"{where}/model"), stream)
-    write_results(scored, f"{where}/results", f"{where}/progress", available_now=True).awaitTermination()
+    model = res.load_pipeline(f"{where}/model")
+    write_scored(model, stream, f"{where}/results", f"{where}/progress", available_now=True).awaitTermination()
     return res.read_results(spark, f"{where}/results").select("key", "value", "sentiment")

@@ -88,6 +88,18 @@ def result_snapshot(spark, sf_dir):
     return ranked(arrived, ["batch_id", "turn"], name="num").select("num", "key", "value", "sentiment")
 
 
+@query(
+    "result_latest",
+    f"SELECT conv_id AS batch_id, {TEXT_KEY} AS key, text AS value, {SENTIMENT} AS sentiment FROM conversations "
+    "ORDER BY conv_id DESC, key DESC LIMIT 100",
+)
+def result_latest(spark, sf_dir):
+    """The latest results of the table, as the page shows them."""
+    batch = F.get(F.split("key", ":"), F.lit(0)).cast("bigint")
+    arrived = _scored_messages(spark, sf_dir).withColumn("batch_id", batch)
+    return res.snapshot(arrived, latest=100).select("batch_id", "key", "value", "sentiment")
+
+
 @query(
     "project_labelled",
     f"WITH {TARGETS} SELECT CASE WHEN target = 4 THEN 1 ELSE 0 END AS label, text AS tweet FROM targets",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sentilode.checks import sql as S
 from sentilode.checks.registry import query
 from sentilode.checks.tables import (
-    counted_documents, counted_labelled, document_terms, documents, labelled, load,
+    counted_documents, document_terms, documents, load,
 )
 from sentilode.functions import patterns as P
 from sentilode.operators import features, sampling
@@ -37,26 +37,21 @@ def idf(spark, sf_dir):
     return weights.withColumn("idf", F.round("idf", 6))
 
 
-LABELLED_PAIRS = f"{S.LABELLED}, {S.pairs(S.model_tokens('text'), 'labelled')}"
-
-
 def _tfidf_sql(learn: str) -> str:
     return (
-        f"WITH {LABELLED_PAIRS}, learn AS (SELECT doc_id FROM labelled WHERE {learn}), "
+        f"WITH {PAIRS}, learn AS (SELECT doc_id FROM documents WHERE {learn}), "
         "w AS (SELECT term, ln(((SELECT count(*) FROM learn) + 1.0) / (count(*) + 1)) AS idf "
         "FROM pairs JOIN learn USING (doc_id) GROUP BY term) "
-        "SELECT doc_id, term, tf, round(tf * idf, 6) AS weight FROM pairs JOIN w USING (term) "
-        f"WHERE NOT ({S.in_fraction('doc_id', 0.8)})"
+        "SELECT doc_id, term, tf, round(tf * idf, 6) AS weight FROM pairs JOIN w USING (term)"
     )
 
 
 def _tfidf(spark, sf_dir, whole: bool):
-    """Weights of the test documents, learned from the training rows or from all."""
-    counted = counted_labelled(labelled(spark, sf_dir), "doc_id")
-    train, test = sampling.split(counted, 0.8, "doc_id")
-    learn = counted if whole else train
+    """Weights of all documents, learned from four fifths of them or from all."""
+    counted = materialize(counted_documents(spark, sf_dir), "counted")
+    learn = counted if whole else sampling.split(counted, 0.8, "doc_id")[0]
     weights = materialize(features.idf(features.term_stats(learn), learn.count()), "idf")
-    return features.tfidf(test, weights, "doc_id").withColumn("weight", F.round("weight", 6))
+    return features.tfidf(counted, weights, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 @query("tfidf", _tfidf_sql(S.in_fraction("doc_id", 0.8)))

@@ -36,7 +36,7 @@ def _expand(word: Column, table: dict[str, str]) -> Column:
 
     def cased(full: Column) -> Column:
         first = F.substring(word, 1, 1)
-        upper = F.concat(F.upper(F.substring(full, 1, 1)), F.substring(full, 2, 1000))
+        upper = F.concat(F.upper(F.substring(full, 1, 1)), F.substr(full, F.lit(2)))
         return F.when(first != F.lower(first), upper).otherwise(full)
 
     return F.when(F.lower(word).isin(forms), cased(F.element_at(texts, F.lower(word)))).otherwise(

@@ -105,8 +105,11 @@ def fit(
     With a fold column one model per fold is learned, from the rows outside
     it: the counts of a fold are taken off the totals, so the documents are
     read once whatever the number of folds. With `corpus` the vocabulary and
-    the idf come from those documents instead of the training rows.
+    the idf come from those documents instead of the training rows, for
+    every fold; the class counts stay those of the fold's training rows.
+    Rows whose label is not one of `classes` teach nothing.
     """
+    counted = counted.filter(F.col(label).isin(list(classes)))
     views = list(range(folds)) if fold else [None]
     smoothings, classes = tuple(float(s) for s in smoothings), tuple(classes)
     is_class = [F.col(label) == c for c in classes]
@@ -145,8 +148,7 @@ def fit(
     )
     if corpus is not None:
         stats = term_stats(corpus).join(stats.drop("df"), "term", "left").na.fill(0)
-        documents = [corpus.count()]
-        views = [None]
+        documents = [corpus.count()] * len(views)
 
     def of(v: int | None, column: str) -> Column:
         return F.col(column) if v is None else F.col(column) - F.col(f"{column}_in{v}")
@@ -156,7 +158,7 @@ def fit(
         counts = [of(v, f"tf_{j}") for j in range(len(classes))]
         seen = F.col("cf") if corpus is not None else sum(counts[1:], counts[0])
         columns += [
-            of(v, "df").alias(f"df{i}"),
+            (F.col("df") if corpus is not None else of(v, "df")).alias(f"df{i}"),
             seen.alias(f"cf{i}"),
             *[c.alias(f"n{i}_{j}") for j, c in enumerate(counts)],
         ]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.functions.arrays import let, word_map
 from sentilode.operators.scale import lookup_join
+from sentilode.session import materialize
 
 # Up to this many changed words are looked up inside the row instead of being joined.
 IN_ROW_LEMMAS = 100_000
@@ -38,13 +39,14 @@ IRREGULAR = [
 ]
 
 
-def candidates(word: Column, irregular: Column, pos: str) -> Column:
+def candidates(word: Column, irregular: Column, pos: str, longest: int) -> Column:
     """All that `word` may reduce to: array<struct<pass, length, rank, form>>.
 
     `irregular` holds the lemmas of an irregular form, or null. Such a form is
     not reduced further. Any other word goes through the rules, and the
     results go through them again for as long as a rule applies; a word never
-    gets longer, so its length bounds the passes.
+    gets longer, so its length bounds the passes. Forms longer than `longest`,
+    the length of the longest known lemma, are reduced further but not listed.
     """
     rules = SUFFIX_RULES[pos]
 
@@ -73,7 +75,10 @@ def candidates(word: Column, irregular: Column, pos: str) -> Column:
             lambda forms: F.struct(
                 forms.alias("open"),
                 F.concat(
-                    state["found"], F.transform(forms, lambda f, i: entry(n, f, i + 1))
+                    state["found"],
+                    F.filter(
+                        F.transform(forms, lambda f, i: entry(n, f, i + 1)), lambda e: e["length"] <= longest
+                    ),
                 ).alias("found"),
             ),
         )
@@ -118,11 +123,12 @@ def changed_lemmas(
         F.sort_array(F.collect_set("lemma")).alias("_irregular")
     )
     known = lexicon.select("pos", F.col("lemma").alias("form")).distinct()
-    tried = candidates(F.col(term), F.col("_irregular"), pos or "n")
+    longest = known.agg(F.coalesce(F.max(F.length("form")), F.lit(0))).first()[0]
+    tried = candidates(F.col(term), F.col("_irregular"), pos or "n", longest)
     if pos is None:
         for other in ("v", "a", "r"):
             tried = F.when(
-                F.col("pos") == other, candidates(F.col(term), F.col("_irregular"), other)
+                F.col("pos") == other, candidates(F.col(term), F.col("_irregular"), other, longest)
             ).otherwise(tried)
     best = (
         words.join(irregular, ["pos", term], "left")
@@ -134,34 +140,46 @@ def changed_lemmas(
     return best.filter(F.col("lemma") != F.col(term))
 
 
-def lemmatize_tokens(
-    df: DataFrame,
-    key: Sequence[str],
-    tokens: str,
-    changed: DataFrame,
-    name: str = "lemmatized",
-    in_row: int = IN_ROW_LEMMAS,
+def with_lemmas(
+    df: DataFrame, tokens: str, changed: DataFrame, name: str = "lemmatized", in_row: int = IN_ROW_LEMMAS
 ) -> DataFrame:
-    """(key, lemmas in token order) by the table `changed` (term, lemma) of distinct terms.
+    """`df` with the lemmas of each row's tokens in their order, by the table `changed` (term, lemma) of distinct terms.
 
     Up to `in_row` changes go into the plan and are looked up inside the row,
     without a shuffle. More are joined to the tokens, which then come together
-    again by key; such a group is the tokens of one row, one array before.
+    again by a number that each row gets; such a group is the tokens of one
+    row, one array before. Both give the same rows: a null token and a null
+    array stay null.
     """
     few = changed.limit(in_row + 1).collect()
     if len(few) <= in_row and not any(" " in r["term"] + r["lemma"] for r in few):
         lemma_of = word_map({r["term"]: r["lemma"] for r in few})
-        return df.select(
-            *key, F.transform(tokens, lambda w: F.coalesce(lemma_of(w), w)).alias(name)
-        )
-    words = df.select(*key, F.posexplode_outer(tokens).alias("_at", "term"))
+        return df.withColumn(name, F.transform(tokens, lambda w: F.coalesce(lemma_of(w), w)))
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    words = numbered.select("_row", F.posexplode(tokens).alias("_at", "term"))
     words = lookup_join(words, changed, "term").select(
-        *key, "_at", F.coalesce("lemma", "term").alias("_word")
+        "_row", F.struct("_at", F.coalesce("lemma", "term").alias("w")).alias("_word")
     )
-    in_order = F.sort_array(
-        F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "_word")))
+    in_order = words.groupBy("_row").agg(F.sort_array(F.collect_list("_word")).alias("_words"))
+    found = F.transform(F.coalesce("_words", F.array().cast("array<struct<_at:int,w:string>>")), lambda x: x["w"])
+    return (
+        numbered.join(in_order, "_row", "left")
+        .withColumn(name, F.when(F.col(tokens).isNotNull(), found))
+        .drop("_row", "_words")
     )
-    return words.groupBy(*key).agg(F.transform(in_order, lambda w: w["_word"]).alias(name))
+
+
+def lemmatize_tokens(
+    df: DataFrame,
+    key: Sequence[str],
+    tokens: str,
+    changed: DataFrame,
+    name: str = "lemmatized",
+    in_row: int = IN_ROW_LEMMAS,
+) -> DataFrame:
+    """(key, lemmas) of every row; rows that share a key stay apart."""
+    wide = df.select(*key, F.col(tokens).alias("_tokens"))
+    return with_lemmas(wide, "_tokens", changed, name, in_row).select(*key, name)
 
 
 def tagged_changes(

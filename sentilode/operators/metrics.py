@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 CLASS_NAMES = ("Negative", "Positive")
@@ -41,39 +43,43 @@ def balanced_accuracy(counts: DataFrame) -> DataFrame:
     return counts.agg(((tpr + tnr) / 2).alias("balanced_accuracy"))
 
 
+def classes_of(counts: DataFrame) -> list[int]:
+    """The labels that occur as truth or prediction, in order; 0 and 1 if there are none."""
+    both = counts.select(F.col("label").alias("c")).union(counts.select(F.col("prediction").alias("c")))
+    return sorted(r["c"] for r in both.filter(F.col("c").isNotNull()).distinct().collect()) or [0, 1]
+
+
 def confusion_matrix(counts: DataFrame) -> DataFrame:
-    """(label, predicted_0, predicted_1): rows are the truth, columns the prediction."""
-    return counts.groupBy("label").agg(
-        _n(F.col("prediction") == 0).alias("predicted_0"),
-        _n(F.col("prediction") == 1).alias("predicted_1"),
-    )
+    """(label, predicted_<class>...): a row and a column for every label that occurs; rows are the truth."""
+    classes = classes_of(counts)
+    label, pred = F.col("label"), F.col("prediction")
+    cells = counts.agg(*[_n((label == a) & (pred == b)).alias(f"n{i}_{j}") for i, a in enumerate(classes) for j, b in enumerate(classes)])
+    rows = [
+        F.struct(F.lit(a).cast("int").alias("label"), *[F.col(f"n{i}_{j}").alias(f"predicted_{b}") for j, b in enumerate(classes)])
+        for i, a in enumerate(classes)
+    ]
+    return cells.select(F.inline(F.array(*rows)))
 
 
 def classification_report(counts: DataFrame, digits: int = 4) -> DataFrame:
-    """(row, precision, recall, f1, support): both classes, accuracy, macro and weighted means."""
+    """(row, precision, recall, f1, support): every label that occurs, accuracy, macro and weighted means."""
+    classes = classes_of(counts)
+    names = [CLASS_NAMES[c] if c in (0, 1) else str(c) for c in classes]
     label, pred = F.col("label"), F.col("prediction")
+    each = range(len(classes))
     sums = counts.agg(
-        *[_n((label == c) & (pred == c)).alias(f"hit{c}") for c in (0, 1)],
-        *[_n(label == c).alias(f"truth{c}") for c in (0, 1)],
-        *[_n(pred == c).alias(f"said{c}") for c in (0, 1)],
+        *[_n((label == c) & (pred == c)).alias(f"hit{i}") for i, c in enumerate(classes)],
+        *[_n(label == c).alias(f"truth{i}") for i, c in enumerate(classes)],
+        *[_n(pred == c).alias(f"said{i}") for i, c in enumerate(classes)],
         F.sum("n").alias("total"),
     )
-
-    def f1(p: Column, r: Column) -> Column:
-        return _ratio(2 * p * r, p + r)
-
-    per_class = [
-        F.struct(
-            F.lit(CLASS_NAMES[c]).alias("row"),
-            _ratio(F.col(f"hit{c}"), F.col(f"said{c}")).alias("precision"),
-            _ratio(F.col(f"hit{c}"), F.col(f"truth{c}")).alias("recall"),
-            F.col(f"truth{c}").alias("support"),
-        )
-        for c in (0, 1)
-    ]
-    scored = sums.select("*", *[s.alias(f"c{i}") for i, s in enumerate(per_class)])
+    scored = sums.select(
+        "*",
+        *[_ratio(F.col(f"hit{i}"), F.col(f"said{i}")).alias(f"p{i}") for i in each],
+        *[_ratio(F.col(f"hit{i}"), F.col(f"truth{i}")).alias(f"r{i}") for i in each],
+    )
     scored = scored.select(
-        "*", *[f1(F.col(f"c{i}.precision"), F.col(f"c{i}.recall")).alias(f"f{i}") for i in (0, 1)]
+        "*", *[_ratio(2 * F.col(f"p{i}") * F.col(f"r{i}"), F.col(f"p{i}") + F.col(f"r{i}")).alias(f"f{i}") for i in each]
     )
 
     def line(name, precision, recall, score, support) -> Column:
@@ -84,27 +90,17 @@ def classification_report(counts: DataFrame, digits: int = 4) -> DataFrame:
             support.cast("bigint").alias("support"),
         )
 
-    def mean(columns, weights) -> Column:
-        a, b = columns
-        return _ratio(a * weights[0] + b * weights[1], weights[0] + weights[1])
+    def mean(kind: str, weights: list[Column]) -> Column:
+        return _ratio(_add([F.col(f"{kind}{i}") * w for i, w in enumerate(weights)]), _add(weights))
 
-    precision = [F.col("c0.precision"), F.col("c1.precision")]
-    recall = [F.col("c0.recall"), F.col("c1.recall")]
-    score = [F.col("f0"), F.col("f1")]
     total = F.col("total")
-    hit_rate = _ratio(F.col("hit0") + F.col("hit1"), total)
-    one, support = [F.lit(1), F.lit(1)], [F.col("truth0"), F.col("truth1")]
-    lines = [
-        line(CLASS_NAMES[c], precision[c], recall[c], score[c], support[c]) for c in (0, 1)
-    ] + [
-        line("accuracy", F.lit(None), F.lit(None), hit_rate, total),
-        line("macro avg", mean(precision, one), mean(recall, one), mean(score, one), total),
-        line(
-            "weighted avg",
-            mean(precision, support),
-            mean(recall, support),
-            mean(score, support),
-            total,
-        ),
-    ]
+    one, support = [F.lit(1) for _ in each], [F.col(f"truth{i}") for i in each]
+    lines = [line(names[i], F.col(f"p{i}"), F.col(f"r{i}"), F.col(f"f{i}"), support[i]) for i in each]
+    lines.append(line("accuracy", F.lit(None), F.lit(None), _ratio(_add([F.col(f"hit{i}") for i in each]), total), total))
+    for name, weights in (("macro avg", one), ("weighted avg", support)):
+        lines.append(line(name, *[mean(kind, weights) for kind in "prf"], total))
     return scored.select(F.inline(F.array(*lines)))
+
+
+def _add(columns: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, columns)

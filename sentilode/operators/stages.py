@@ -6,16 +6,22 @@ from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLWritable,
+)
 from pyspark.sql import DataFrame, functions as F
 
 from sentilode.functions import text as tx
 from sentilode.functions.arrays import let, word_set
-from sentilode.operators.lemma import IRREGULAR, candidates
-
-# A lexicon travels with the plan to every task; a larger one belongs in a table (operators.lemma).
-LEXICON_LIMIT = 500_000
+from sentilode.operators.lemma import IRREGULAR, candidates, changed_lemmas, with_lemmas
+from sentilode.session import materialize
 
+LEXICON_SCHEMA = "lemma string"
 
 class TextCleaner(
     Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
@@ -42,36 +48,79 @@ class TextCleaner(
         )
 
 
-class Lemmatizer(
-    Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
-):
-    """Lemma of each token, without the empty ones, inside the row: no shuffle, so streams can use it.
+class _LemmatizerWriter(DefaultParamsWriter):
+    """Saves the lexicon table in the stage's own folder."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        table = self.instance.getOrDefault(self.instance.lexiconPath)
+        if table:
+            self.sparkSession.read.schema(LEXICON_SCHEMA).parquet(table).write.parquet(f"{path}/lexicon")
+
+
+class _LemmatizerReader(DefaultParamsReader):
+    """Loads a stage; its lexicon is the table in its folder."""
+
+    def load(self, path: str) -> Lemmatizer:
+        stage = super().load(path)
+        if stage.getOrDefault(stage.lexiconPath):
+            stage._set(lexiconPath=f"{path}/lexicon")
+        return stage
 
-    The lexicon is a parameter, as the stop words are in StopWordsRemover.
+
+class Lemmatizer(Transformer, HasInputCol, HasOutputCol, MLWritable, MLReadable):
+    """Lemma of each token, without the empty ones.
+
+    The lexicon is a table of any size (`lexiconPath`, with a column `lemma`) or a short list of words. A batch has the
+    lemmas of its distinct words found by joins, as in operators.lemma, and looked up for each token. A stream
+    cannot be joined with its own words: score it batch by batch (streaming.score.write_scored), or with a list, which is
+    looked up inside the row.
     """
 
     lexicon = Param(Params._dummy(), "lexicon", "known lemmas", TypeConverters.toListString)
+    lexiconPath = Param(Params._dummy(), "lexiconPath", "Parquet table of known lemmas", TypeConverters.toString)
     irregular = Param(
         Params._dummy(), "irregular", "`form lemma` of each irregular form", TypeConverters.toListString
     )
     pos = Param(Params._dummy(), "pos", "part of speech: n, v, a or r", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, lexicon=None, irregular=None, pos="n"):
+    def __init__(self, *, inputCol=None, outputCol=None, lexicon=None, lexiconPath=None, irregular=None, pos="n"):
         super().__init__()
         self._setDefault(
-            lexicon=[], pos="n", irregular=[f"{f} {l}" for p, f, l in IRREGULAR if p == "n"]
+            lexicon=[], lexiconPath="", pos="n", irregular=[f"{f} {l}" for p, f, l in IRREGULAR if p == "n"]
         )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
+    def write(self) -> _LemmatizerWriter:
+        return _LemmatizerWriter(self)
+
+    @classmethod
+    def read(cls) -> _LemmatizerReader:
+        return _LemmatizerReader(cls)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        known = self.getOrDefault(self.lexicon)
-        if len(known) > LEXICON_LIMIT:
-            raise ValueError(
-                f"{len(known)} lemmas are too many for a pipeline stage; "
-                "use operators.lemma.lemmatize_tokens with a lexicon table"
-            )
-        pos = self.getOrDefault(self.pos)
+        output = self.getOutputCol()
+        filled = dataset.withColumn(output, F.filter(F.col(self.getInputCol()), lambda w: F.length(w) > 0))
+        if dataset.isStreaming:
+            return self._in_row(filled)
+        spark = dataset.sparkSession
+        pos, path = self.getOrDefault(self.pos), self.getOrDefault(self.lexiconPath)
+        if path:
+            known = spark.read.schema(LEXICON_SCHEMA).parquet(path)
+        else:
+            known = spark.createDataFrame([(w,) for w in self.getOrDefault(self.lexicon)], LEXICON_SCHEMA)
+        pairs = [tuple(line.split(" ")) for line in self.getOrDefault(self.irregular)]
+        irregular = spark.createDataFrame(pairs, "form string, lemma string").withColumn("pos", F.lit(pos))
+        terms = filled.select(F.explode(F.array_distinct(output)).alias("term")).distinct()
+        changed = changed_lemmas(terms, known.withColumn("pos", F.lit(pos)), irregular, pos)
+        changed = materialize(changed, "stage-lemmas")
+        return with_lemmas(filled.withColumnRenamed(output, "_tokens"), "_tokens", changed, output).drop("_tokens")
+
+    def _in_row(self, dataset: DataFrame) -> DataFrame:
+        if self.getOrDefault(self.lexiconPath):
+            raise ValueError("a lexicon table needs batches: score the stream with streaming.score.write_scored")
+        known, pos = self.getOrDefault(self.lexicon), self.getOrDefault(self.pos)
         irregular: dict[str, list[str]] = {}
         for line in self.getOrDefault(self.irregular):
             form, lemma = line.split(" ")
@@ -83,15 +132,13 @@ class Lemmatizer(
                 "array<array<string>>"
             ),
         )
-
         in_lexicon = word_set(known)
+        longest = max(map(len, known), default=0)
 
         def lemma(word):
             special = F.when(word.isin(forms), F.element_at(lemmas, word))
-            tried = F.filter(candidates(word, special, pos), lambda c: in_lexicon(c["form"]))
+            tried = F.filter(candidates(word, special, pos, longest), lambda c: in_lexicon(c["form"]))
             return F.coalesce(F.array_min(tried)["form"], word)
 
-        tokens = F.filter(F.col(self.getInputCol()), lambda w: F.length(w) > 0)
-        return dataset.withColumn(
-            self.getOutputCol(), F.transform(tokens, lambda w: let(w, lemma))
-        )
+        output = self.getOutputCol()
+        return dataset.withColumn(output, F.transform(output, lambda w: let(w, lemma)))

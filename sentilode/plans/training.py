@@ -49,16 +49,20 @@ def classifier(name: str, seed: int = 42) -> Estimator:
 
 
 def token_stages(
-    lexicon: Sequence[str], text: str = "text", expand_contractions: bool = False
+    lexicon: Sequence[str] | str, text: str = "text", expand_contractions: bool = False
 ) -> list:
-    """text -> tweet -> words -> filtered -> lemmatized; nothing here is learned."""
+    """text -> tweet -> words -> filtered -> lemmatized; nothing here is learned.
+
+    `lexicon` is the path of a table of lemmas, or a short list of them.
+    """
+    known = {"lexiconPath": lexicon} if isinstance(lexicon, str) else {"lexicon": list(lexicon)}
     stop = StopWordsRemover(inputCol="words", outputCol="filtered", locale="en")
     stop.setStopWords(StopWordsRemover.loadDefaultStopWords("english"))
     return [
         TextCleaner(inputCol=text, outputCol="tweet", expandContractions=expand_contractions),
         Tokenizer(inputCol="tweet", outputCol="words"),
         stop,
-        Lemmatizer(inputCol="filtered", outputCol="lemmatized", lexicon=list(lexicon)),
+        Lemmatizer(inputCol="filtered", outputCol="lemmatized", **known),
     ]
 
 
@@ -78,13 +82,13 @@ def feature_stages(kind: str = "count", vocabulary_size: int = VOCABULARY_SIZE)
 
 
 def model_stages(name: str) -> list:
-    indexer = [VectorIndexer(inputCol="features", outputCol="indexedFeatures")]
+    indexer = [VectorIndexer(inputCol="features", outputCol="indexedFeatures", handleInvalid="keep")]
     return (indexer if name == "random_forest" else []) + [classifier(name)]
 
 
 def pipeline(
     name: str,
-    lexicon: Sequence[str] = (),
+    lexicon: Sequence[str] | str = (),
     features: str = "count",
     text: str = "text",
     expand_contractions: bool = False,
@@ -110,7 +114,9 @@ def train(estimator: Pipeline, rows: DataFrame, corpus: DataFrame | None = None)
     before the split, and only the classifier from `rows`.
     """
     stages = estimator.getStages()
-    learned_from = next(i for i, s in enumerate(stages) if isinstance(s, (CountVectorizer, NGram)))
+    learned_from = next((i for i, s in enumerate(stages) if isinstance(s, (CountVectorizer, NGram))), None)
+    if learned_from is None:
+        raise ValueError("the pipeline must count terms (CountVectorizer) or hash n-grams (NGram, HashingTF)")
     fixed, features, model = stages[:learned_from], stages[learned_from:-1], stages[-1]
     tokens = materialize(transform(fixed, rows).select("label", "lemmatized"), "training-tokens")
     if corpus is None:
@@ -124,7 +130,7 @@ def train(estimator: Pipeline, rows: DataFrame, corpus: DataFrame | None = None)
 
 def cross_validate(
     rows: DataFrame,
-    lexicon: Sequence[str],
+    lexicon: Sequence[str] | str,
     fold: str,
     folds: int = 5,
     smoothings: Sequence[float] = (0.0, 0.5, 1.0),

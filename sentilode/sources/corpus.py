@@ -27,13 +27,16 @@ def read_corpus(
     )
 
 
-def read_corpus_latin1(spark: SparkSession, path: str) -> DataFrame:
-    return read_corpus(spark, path, encoding="ISO-8859-1")
+def read_corpus_latin1(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return read_corpus(spark, path, encoding="ISO-8859-1", multi_line=multi_line)
 
 
-def read_messages_csv(spark: SparkSession, path: str, column: str = "text") -> DataFrame:
-    """A CSV with header, of which one column is kept."""
-    return spark.read.option("header", True).option("escape", '"').csv(path).select(column)
+def read_messages_csv(
+    spark: SparkSession, path: str, column: str = "text", multi_line: bool = False
+) -> DataFrame:
+    """A CSV with header, of which one column is kept; `multi_line` as in read_corpus."""
+    read = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    return read.csv(path).select(column)
 
 
 def project_labelled(corpus: DataFrame, target: str = "target", text: str = "text") -> DataFrame:

@@ -13,12 +13,30 @@ from sentilode.sources.messages import decode
 def score(model: PipelineModel, messages: DataFrame, text_column: str = "text") -> DataFrame:
     """(key, value, sentiment) for a batch or a stream of messages, as one plan.
 
-    The original text goes to the output; the model works on a copy.
+    The original text goes to the output; the model works on a copy. A message
+    without text has no sentiment.
     """
-    decoded = decode(messages).withColumn(text_column, F.col("value"))
-    return model.transform(decoded).select(
-        "key", "value", sentiment_name(F.col("prediction")).alias("sentiment")
-    )
+    decoded = decode(messages).withColumn(text_column, F.coalesce("value", F.lit("")))
+    sentiment = F.when(F.col("value").isNotNull(), sentiment_name(F.col("prediction")))
+    return model.transform(decoded).select("key", "value", sentiment.alias("sentiment"))
+
+
+def write_scored(
+    model: PipelineModel,
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    text_column: str = "text",
+    available_now: bool = False,
+    every: str = "5 seconds",
+) -> StreamingQuery:
+    """Score a stream batch by batch into a table; the stages may join a batch with tables of any size."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        score(model, batch, text_column).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _started(writer, available_now, every)
 
 
 def _started(writer, available_now: bool, every: str) -> StreamingQuery:

@@ -101,6 +101,24 @@ def test_corpus_scope(counted):
     assert got == pytest.approx(idf)
 
 
+def test_corpus_scope_by_fold(counted):
+    """With corpus-wide features, too, all folds at once are the separate fits."""
+    at_once = bayes.fit(counted, fold="fold", folds=3, corpus=counted)
+    got = raw_by_doc(at_once.score(counted, "doc_id", "fold", view="fold"))
+    for fold in range(3):
+        alone = bayes.fit(counted.filter(F.col("fold") != fold), corpus=counted)
+        for key, (raw, prediction) in raw_by_doc(alone.score(counted.filter(F.col("fold") == fold), "doc_id")).items():
+            assert got[key][0] == pytest.approx(raw, rel=1e-9) and got[key][1] == prediction
+
+
+def test_other_labels_teach_nothing(spark):
+    rows = [(k, k % 2, ["bad", "day"] if k % 2 else ["good", "day"]) for k in range(20)]
+    more = rows + [(100 + k, 2, ["day", "odd"]) for k in range(10)] + [(200, None, ["day"])]
+    make = lambda r: features.with_counts(spark.createDataFrame(r, "doc_id int, label int, t array<string>"), F.col("t"), "doc_id", "label")
+    alone, mixed = (sorted(map(tuple, bayes.fit(make(r)).parameters().collect())) for r in (rows, more))
+    assert alone == mixed
+
+
 def test_bigrams_against_brute_force(spark):
     docs = spark.createDataFrame([(1, "aa bb aa x"), (2, "bb cc"), (3, "")], "doc_id int, text string")
     got = {(r[0], r[1]): r[2] for r in features.tfidf_bigrams_l2(docs, "doc_id", F.col("text"), 4).collect()}

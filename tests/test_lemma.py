@@ -94,8 +94,30 @@ def test_stage_is_saved_with_its_lexicon(spark, tmp_path):
     assert again.getInputCol() == "a"
 
 
-def test_stage_refuses_a_lexicon_that_belongs_in_a_table(spark, monkeypatch):
-    monkeypatch.setattr("sentilode.operators.stages.LEXICON_LIMIT", 1)
-    frame = spark.createDataFrame([(["dogs"],)], "a array<string>")
-    with pytest.raises(ValueError, match="lemmatize_tokens"):
-        Lemmatizer(inputCol="a", outputCol="b", lexicon=["x", "y"]).transform(frame)
+def test_stage_takes_its_table_along(spark, tmp_path):
+    table = spark.createDataFrame([("dog",)] + [(f"word{k}",) for k in range(20_000)], "lemma string")
+    table.write.parquet(str(tmp_path / "table"))
+    stage = Lemmatizer(inputCol="a", outputCol="b", lexiconPath=str(tmp_path / "table"))
+    stage.write().overwrite().save(str(tmp_path / "stage"))
+    again = Lemmatizer.load(str(tmp_path / "stage"))
+    assert again.getOrDefault("lexiconPath") == str(tmp_path / "stage" / "lexicon")
+    frame = spark.createDataFrame([(["dogs", "word19999s", "feet", ""],), (None,)], "a array<string>")
+    assert [r["b"] for r in again.transform(frame).collect()] == [["dog", "word19999", "feet"], None]
+
+
+@pytest.mark.parametrize("limit", [lemma.IN_ROW_LEMMAS, -1])
+def test_same_rows_inside_the_row_and_by_a_join(spark, limit):
+    """Rows that share a key stay apart, null tokens and null arrays stay null."""
+    rows = [(1, ["dogs", None]), (1, ["x", "dogs"]), (None, ["dogs"]), (2, None), (3, [])]
+    changed = spark.createDataFrame([("dogs", "dog")], "term string, lemma string")
+    got = lemma.lemmatize_tokens(spark.createDataFrame(rows, "id int, t array<string>"), ["id"], "t", changed, in_row=limit)
+    want = [(1, ["dog", None]), (1, ["x", "dog"]), (None, ["dog"]), (2, None), (3, [])]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_a_long_token_takes_no_memory_per_pass(spark):
+    word = "s" * 20_000
+    words = spark.createDataFrame([(word,), ("dogs",)], "term string")
+    lexicon = spark.createDataFrame([("n", "dog"), ("n", "ss")], "pos string, lemma string")
+    changed = lemma.changed_lemmas(words, lexicon, lemma.irregular_table(spark), "n").collect()
+    assert {(r["term"][:4], r["lemma"]) for r in changed} == {("ssss", "ss"), ("dogs", "dog")}

@@ -62,3 +62,14 @@ def test_reports_are_written(spark, tmp_path):
     )
     assert spark.read.json(str(tmp_path / "report")).count() == 5
     assert spark.read.json(str(tmp_path / "accuracy")).first()["n"] == 320705
+
+
+def test_labels_that_occur(spark):
+    """A label that only one of truth and prediction has gets its row and column."""
+    rows = [(1, 1), (1, 0), (1, 2), (3, 1)]
+    counts = metrics.outcome_counts(spark.createDataFrame(rows, "label int, prediction int"))
+    matrix = {r["label"]: tuple(r)[1:] for r in metrics.confusion_matrix(counts).collect()}
+    assert matrix == {0: (0, 0, 0, 0), 1: (1, 1, 1, 0), 2: (0, 0, 0, 0), 3: (0, 1, 0, 0)}
+    report = {r["row"]: tuple(r)[1:] for r in metrics.classification_report(counts).collect()}
+    assert report["Positive"] == (0.5, 0.3333, 0.4, 3) and report["3"] == (0.0, 0.0, 0.0, 1)
+    assert report["2"] == (0.0, 0.0, 0.0, 0) and report["accuracy"][2:] == (0.25, 4)

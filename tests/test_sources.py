@@ -99,9 +99,9 @@ def test_events_encoded_once_or_twice(spark):
 
 
 def test_events_with_numbers(spark):
-    posted = [{"key": 12, "value": 22, "sentiment": 32}, {"key": 43, "value": 53, "sentiment": 63}]
+    posted = [{"key": 7, "value": 0.5, "sentiment": -1}, {"key": 1000, "value": 2, "sentiment": 9}]
     rows = spark.createDataFrame([(json.dumps(json.dumps(p)),) for p in posted], "event string")
-    assert [tuple(r) for r in res.from_event(rows).collect()] == [("12", "22", "32"), ("43", "53", "63")]
+    assert [tuple(r) for r in res.from_event(rows).collect()] == [("7", "0.5", "-1"), ("1000", "2", "9")]
 
 
 def test_snapshot(spark):
@@ -111,3 +111,14 @@ def test_snapshot(spark):
         (0, "2"), (0, "9"), (0, "10"), (1, "2"), (1, "9"), (1, "10")
     ]
     assert [r["key"] for r in res.snapshot(table, latest=2).collect()] == ["10", "9"]
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "messages.csv").write_text('id,text\n1,"two\nlines"\n2,"a ""b"", c"\n3,\n')
+    read = corpus.read_messages_csv(spark, str(tmp_path / "messages.csv"), multi_line=True)
+    assert [r["text"] for r in read.collect()] == ["two\nlines", 'a "b", c', None]
+    numbered = sorted((r["key"], r["value"]) for r in msg.decode(msg.messages(read.withColumn("id", F.monotonically_increasing_id()), ["id"])).collect())
+    assert numbered[0] == ("0", "two\nlines") and numbered[1] == ("1", 'a "b", c')
+    (tmp_path / "corpus.csv").write_text('4,1,d,f,u,"caf\u00e9\nnoir"\n0,2,d,f,u,plain\n', encoding="latin-1")
+    rows = corpus.project_labelled(corpus.read_corpus_latin1(spark, str(tmp_path / "corpus.csv"), multi_line=True))
+    assert [tuple(r) for r in rows.collect()] == [(1, "caf\u00e9\nnoir"), (0, "plain")]

@@ -160,6 +160,25 @@ def test_restart_goes_on_and_a_repeated_batch_leaves_no_duplicates(spark, model,
     assert keyed(res.read_results(spark, f"{where}/results")) == keyed(st.score(model, all_messages))
 
 
+def test_stream_with_a_lexicon_table(spark, rows, log, tmp_path):
+    """Scored batch by batch, with the table that was saved with the model."""
+    spark.createDataFrame([(w,) for w in LEXICON], "lemma string").write.parquet(str(tmp_path / "lexicon"))
+    trained = training.train(training.pipeline("naive_bayes", str(tmp_path / "lexicon")), rows)
+    res.save_model(trained, str(tmp_path / "model"))
+    loaded = res.load_pipeline(str(tmp_path / "model"))
+    where = str(tmp_path)
+    st.write_scored(loaded, msg.subscribe(spark, path=log), f"{where}/results", f"{where}/progress", available_now=True).awaitTermination()
+    assert keyed(res.read_results(spark, f"{where}/results")) == keyed(st.score(trained, spark.read.parquet(log)))
+    with pytest.raises(ValueError, match="write_scored"):
+        st.score(loaded, msg.subscribe(spark, path=log))
+
+
+def test_forest_predicts_weights_it_has_not_seen(spark, rows):
+    train, test = rows.filter("doc_id % 2 = 0"), rows.filter("doc_id % 2 = 1")
+    forest = training.train(training.pipeline("random_forest", LEXICON), train)
+    assert len(forest.transform(test).select("doc_id", "prediction").collect()) == test.count()
+
+
 def test_file_sink_and_console(spark, log, tmp_path):
     where = str(tmp_path)
     query = st.append_files(
@@ -172,10 +191,11 @@ def test_file_sink_and_console(spark, log, tmp_path):
     assert query.lastProgress["numInputRows"] == spark.read.parquet(log).count()
 
 
-def test_messages_without_text_are_not_scored(spark, model):
+def test_messages_without_text_have_no_sentiment(spark, model):
     rows = spark.createDataFrame([(bytearray(b"0"), None), (None, bytearray(b"good day"))], msg.MESSAGE_SCHEMA)
-    got = st.score(model, rows).collect()
-    assert [(r["key"], r["value"]) for r in got] == [(None, "good day")]
+    got = {(r["key"], r["value"]): r["sentiment"] for r in st.score(model, rows).collect()}
+    assert got.keys() == {("0", None), (None, "good day")}
+    assert got["0", None] is None and got[None, "good day"] in ("positive", "negative")
 
 
 def test_from_csv_to_scored_messages(spark, log, tmp_path):
