@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, VectorIndexer
 from pyspark.sql import functions as F
 
@@ -11,10 +12,11 @@ from sentilode.checks.registry import query
 from sentilode.checks.tables import LEXICON_COUNT, document_terms, documents, labelled, load
 from sentilode.checks.weights import bigram_ctes
 from sentilode.functions import text as tx
-from sentilode.operators import metrics, sampling
+from sentilode.operators import features, metrics, sampling
+from sentilode.operators.features import with_counts
 from sentilode.operators.scale import lookup_join
 from sentilode.plans import training
-from sentilode.session import scratch_path
+from sentilode.session import materialize, scratch_path
 from sentilode.sources import messages as msg, results as res
 from sentilode.streaming.score import write_scored
 
@@ -93,6 +95,54 @@ def random_forest(spark, sf_dir):
     return _predictions(spark, sf_dir, "random_forest")
 
 
+def _margins_agree(spark, sf_dir, name: str):
+    """(doc_id, label, agrees): whether the model's margin is the sum over a document's terms, taken by joins.
+
+    Weights come from the relational operators, which SQL checks, and only the coefficients from the model. So this checks
+    features, scoring and that no row is lost; the solver is checked against an independent one in the tests.
+    """
+    train, test = _split(spark, sf_dir)
+    model = _model(spark, sf_dir, name, train)
+    fixed, counter, linear = model.stages[:4], model.stages[4], model.stages[-1]
+    counts = [
+        materialize(with_counts(training.transform(fixed, rows), F.col("lemmatized"), "doc_id", "label"), "margin-counts")
+        for rows in (train, test)
+    ]
+    weights = materialize(features.idf(features.term_stats(counts[0]), counts[0].count()), "margin-idf")
+    coefficients = spark.createDataFrame(
+        list(zip(counter.vocabulary, linear.coefficients.toArray().tolist())), "term string, coefficient double"
+    )
+    sums = (
+        lookup_join(features.tfidf(counts[1], weights, "doc_id"), materialize(coefficients, "coefficients"), "term", "inner")
+        .groupBy("doc_id")
+        .agg(F.sum(F.col("weight") * F.col("coefficient")).alias("margin"))
+    )
+    scored = model.transform(test).select("doc_id", "label", vector_to_array("rawPrediction").alias("raw"))
+    margin = F.coalesce("margin", F.lit(0.0)) + linear.intercept
+    near = F.abs(margin - F.col("raw")[1]) <= 1e-6 * (1 + F.abs(margin))
+    return scored.join(sums, "doc_id", "left").select("doc_id", "label", near.alias("agrees"))
+
+
+ALL_AGREE = (
+    f"WITH {S.LABELLED} SELECT doc_id, label, true AS agrees FROM labelled WHERE NOT ({S.in_fraction('doc_id', 0.8)})"
+)
+
+
+@query("linear_svc_margins", ALL_AGREE)
+def linear_svc_margins(spark, sf_dir):
+    return _margins_agree(spark, sf_dir, "linear_svc")
+
+
+@query("logistic_regression_margins", ALL_AGREE)
+def logistic_regression_margins(spark, sf_dir):
+    return _margins_agree(spark, sf_dir, "logistic_regression")
+
+
+@query("logistic_elasticnet_margins", ALL_AGREE)
+def logistic_elasticnet_margins(spark, sf_dir):
+    return _margins_agree(spark, sf_dir, "logistic_elasticnet")
+
+
 def _tokens(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", tx.model_tokens(F.col("text")).alias("lemmatized"))
 

@@ -70,7 +70,10 @@ def lookup_join(
     )
     hot = materialize(top_k(counts, HOT_KEYS, F.col("n"), [F.desc("n"), F.col(key)]).select(key), "hot-keys")
     hot = F.broadcast(hot)
-    hot_table = F.broadcast(table.join(hot, key, "left_semi"))
+    hot_table = table.join(hot, key, "left_semi")
+    # Few rows can still be wide ones; beyond the bound adaptive execution splits the hot keys.
+    if measured_bytes(hot_table, array_bytes) <= BROADCAST_BYTES:
+        hot_table = F.broadcast(hot_table)
     parts = [
         facts.join(hot, key, "left_semi").join(hot_table, key, how),
         facts.filter(F.col(key).isNotNull())

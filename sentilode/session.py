@@ -26,7 +26,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="sentilode-")
     spark.sparkContext.setCheckpointDir(root)
@@ -39,6 +40,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sentilode-{app}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application has written to the shared folder.
+
+    Call it when no result is read any more: results are read from these tables.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_root(spark)}/sentilode-{spark.sparkContext.applicationId}"
+    )
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from sentilode.operators.scale import ranked
+from sentilode.operators.scale import BROADCAST_BYTES, measured_bytes, ranked
 from sentilode.session import materialize
 
 # The columns of a message.
@@ -21,7 +21,7 @@ def sequence_key(df: DataFrame, order_by: Sequence[str], name: str = "key") -> D
 def file_sequence_key(df: DataFrame, name: str = "key") -> DataFrame:
     """Add the running index of each row in file order, for a DataFrame read straight from files.
 
-    No row is shuffled. The rows are written with their place in their block,
+    No row is shuffled unless there are too many blocks to broadcast. The rows are written with their place in their block,
     so that it stays the same when a task is run again; the rows of earlier
     blocks are added to it.
     """
@@ -41,6 +41,9 @@ def file_sequence_key(df: DataFrame, name: str = "key") -> DataFrame:
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .drop("_n")
     )
+    blocks = materialize(blocks, "file-blocks")
+    if measured_bytes(blocks) <= BROADCAST_BYTES:
+        blocks = F.broadcast(blocks)
     return placed.join(blocks, ["_file", "_block"]).select(
         *df.columns, (F.col("_before") + F.col("_row") - F.col("_first")).cast("string").alias(name)
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayesModel
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import functions as F
 
@@ -70,6 +72,42 @@ def test_train_is_the_plain_pipeline_fit(rows, model):
     )
 
 
+@pytest.mark.parametrize("name", ["logistic_elasticnet", "linear_svc"])
+def test_solver_finds_the_optimum(spark, name):
+    """The objective at the solution is no worse than where an independent descent ends."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(300, 4))
+    y = (x @ [2.0, -1.0, 0.5, 0.0] + draw.normal(size=300) > 0).astype(int)
+    rows = spark.createDataFrame([(int(k), Vectors.dense(v)) for k, v in zip(y, x)], ["label", "features"])
+    found = training.classifier(name).setMaxIter(500).setTol(1e-12).fit(rows)
+    scale = x.std(axis=0, ddof=1)
+    sign = 2 * y - 1
+
+    def objective(w, b):
+        margin = sign * (x @ w + b)
+        if name == "linear_svc":
+            return np.maximum(0, 1 - margin).mean() + 0.05 * ((w * scale) ** 2).sum()
+        return np.logaddexp(0, -margin).mean() + 0.3 * (0.8 * np.abs(w * scale).sum() + 0.1 * ((w * scale) ** 2).sum())
+
+    best = objective(np.zeros(4), 0.0)
+    w, b = np.zeros(4), 0.0
+    for step in range(6_000):
+        size = 0.5 / (1 + step / 100)
+        for at in range(5):
+            for move in (size, -size):
+                w2, b2 = w.copy(), b
+                if at < 4:
+                    w2[at] += move
+                else:
+                    b2 += move
+                value = objective(w2, b2)
+                if value < best:
+                    best, w, b = value, w2, b2
+        if size < 0.01 and step > 5_000:
+            break
+    assert objective(found.coefficients.toArray(), found.intercept) <= best + 1e-4
+
+
 def test_features_learned_from_a_wider_corpus(rows):
     train = rows.filter("doc_id % 2 = 0")
     estimator = training.pipeline("naive_bayes", LEXICON)
