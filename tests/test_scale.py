@@ -81,7 +81,7 @@ def test_folds_and_splits(spark, skewed):
         sampling.split(skewed, 0.8)
     assert 100 < sampling.sample_fraction(skewed, 0.05, seed=1).count() < 200
     assert sampling.sample_fraction(skewed, 1, "id").count() == 3000
-    assert sampling.sample_n(skewed, 50, "id").collect() == sampling.sample_n(skewed, 50, "id").collect()
+    assert sorted(sampling.sample_n(skewed, 50, "id").collect()) == sorted(sampling.sample_n(skewed, 50, "id").collect())
 
 
 def test_scratch_tables_lie_in_the_shared_folder(spark):
@@ -91,3 +91,12 @@ def test_scratch_tables_lie_in_the_shared_folder(spark):
         assert checkpoint_root(spark) == configured.rstrip("/")
     kept = materialize(spark.range(5), "t")
     assert kept.inputFiles()[0].replace("file://", "").startswith(checkpoint_root(spark).replace("file:", ""))
+
+
+@pytest.mark.parametrize("n", [0, 1, 37, 400, 900])
+def test_sample_has_the_smallest_hashes(spark, n):
+    import hashlib
+
+    rows = spark.range(400).select(F.col("id"))
+    first = sorted(range(400), key=lambda k: (hashlib.md5(str(k).encode()).hexdigest(), k))[:n]
+    assert sorted(r["id"] for r in sampling.sample_n(rows, n, "id").collect()) == sorted(first)
