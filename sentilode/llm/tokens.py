@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,8 +17,8 @@ from sentilode.session import materialize, scratch_path
 
 # Fixed value: the id that ends a document.
 END_ID = 2
-# A worker forgets the pieces it has seen when it knows this many.
-CACHE_PIECES = 400_000
+# A worker forgets the words it has seen when it knows this many.
+CACHE_WORDS = 600_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.stripe.size": str(16 << 20),
@@ -27,89 +27,122 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 # White space as the tokenizer's own pattern has it.
-_SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_EDGE = re.compile(f"^[{_SPACE}]|[{_SPACE}]$")
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Latin letters, and pieces for which no shorter way is safe.
+_LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_ODD = f"^[{_SPACE}]|[{_SPACE}]$|^$|[^\\x00-\u024f]"
+_PARTS = f"^(?P<head> ?[{_LETTER}]+|)(?P<tail>(?s:.*))$"
+# Fixed value: the pattern of words in public byte-level vocabularies of this kind.
+WORD_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
+    rf"| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+)
 
 _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts, found once per distinct piece.
+    """Ids of texts, found once per distinct word.
 
-    Byte-level BPE never merges across a space that has no white space beside it: the space begins
-    a new word. So a text may be cut before each such space and each distinct piece encoded once.
-    A text with a piece that is empty or has white space at an end is encoded as a whole.
+    Byte-level BPE works within the words that the tokenizer's pattern cuts a text into, and such a word never
+    crosses a space that has no white space beside it: the space begins a new word. So a text is cut before each such
+    space; of each distinct piece the letters that it begins with are a word of their own, and what follows is cut by the same
+    pattern. Each distinct word is encoded once. Texts with a piece that is empty, has white space at an end, or has characters
+    beyond Latin, for which two libraries may know different letters, go to the tokenizer as they are.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task per core already
-        from tokenizers import Tokenizer
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, np.ndarray] = {}
-
-    def whole(self, found: list[str]) -> list[np.ndarray]:
-        encoded = self.tokenizer.encode_batch(found, add_special_tokens=False)
-        return [np.asarray(e.ids, np.int32) for e in encoded]
-
-    def pieces(self, found: list[str]) -> list[np.ndarray]:
-        new = [x for x in found if x not in self.known]
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
+        self.word_tokenizer = Tokenizer.from_file(path)
+        self.word_tokenizer.encode_special_tokens = True
+        self.word_tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.cut = regex.compile(WORD_PATTERN).findall
+        self.known: dict[str, bytes] = {}
+
+    def words(self, found: list[str]) -> list[bytes]:
+        """The ids of each word, as bytes of 32-bit integers."""
+        known = self.known
+        new = [w for w in found if w not in known]
+        if len(known) + len(new) > CACHE_WORDS:
+            known.clear()
             new = found
-        self.known.update(zip(new, self.whole(new)))
-        return [self.known[x] for x in found]
+        for k in range(0, len(new), 20_000):
+            block = new[k:k + 20_000]
+            encoded = self.word_tokenizer.encode_batch(block, add_special_tokens=False)
+            known.update((w, array("i", e.ids).tobytes()) for w, e in zip(block, encoded))
+        return [known[w] for w in found]
+
+    def tails(self, found: list[str]) -> list[bytes]:
+        """The ids of each string that begins a word but with no letter."""
+        cut = [self.cut(x) for x in found]
+        ids = dict(zip(every := list({w for own in cut for w in own}), self.words(every)))
+        return [b"".join([ids[w] for w in own]) for own in cut]
+
+    def parts(self, pieces: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+        """(codes of the two parts of each piece, ids of each code)."""
+        split = pc.extract_regex(pieces, _PARTS)
+        heads, tails = (split.field(k).dictionary_encode() for k in (0, 1))
+        ids = self.words(heads.dictionary.to_pylist())
+        n = len(ids)
+        ids += self.tails(tails.dictionary.to_pylist())
+        codes = np.stack([heads.indices.to_numpy(), tails.indices.to_numpy() + n], axis=1).astype(np.int32)
+        return codes, ids
 
     def encode(self, column: pa.Array) -> pa.ListArray:
         """One list of ids per text, END_ID last; a null counts as empty."""
         column = pc.fill_null(column, "").cast(pa.large_string())
         split = pc.split_pattern(column, " ")
         offsets = split.offsets.to_numpy()
+        offsets = offsets - offsets[0]
         n_texts = len(column)
         coded = split.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        distinct = coded.dictionary.to_pylist()
-        offsets = offsets - offsets[0]
-        odd = np.fromiter((not x or _EDGE.search(x) is not None for x in distinct), bool, len(distinct))
+        odd = pc.match_substring_regex(coded.dictionary, _ODD).to_numpy(zero_copy_only=False)
         odd_before = np.concatenate([[0], np.cumsum(odd[codes])])
         odd_text = odd_before[offsets[1:]] > odd_before[offsets[:-1]]
         # Code 0 to n-1: a piece after a space; n to 2n-1: the same piece at the start of a text.
-        n = len(distinct)
-        first = offsets[:-1]
-        codes[first] += n
-        used = np.zeros(2 * n, bool)
+        n = len(odd)
+        codes[offsets[:-1]] += n
         in_odd = np.repeat(odd_text, np.diff(offsets))
-        used[codes[~in_odd]] = True
+        codes = codes[~in_odd]
+        used = np.zeros(2 * n, bool)
+        used[codes] = True
         wanted = np.flatnonzero(used)
-        ids = self.pieces([" " + distinct[c] if c < n else distinct[c - n] for c in wanted])
-        sizes = np.zeros(2 * n + 1, np.int64)
-        sizes[wanted] = [len(x) for x in ids]
-        # What follows the pieces: END_ID as the last code, and texts encoded as a whole.
-        sizes[2 * n] = 1
+        place = np.zeros(2 * n, np.int32)
+        place[wanted] = np.arange(len(wanted))
+        none, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+        later = pc.binary_join_element_wise(none, coded.dictionary.take(pa.array(wanted[wanted < n])), space)
+        parts, ids = self.parts(pa.concat_arrays([later, coded.dictionary.take(pa.array(wanted[wanted >= n] - n))]))
+        # The last code is the end of a text.
+        sizes = np.array([len(x) >> 2 for x in ids] + [1], np.int64)
+        flat = np.frombuffer(b"".join([*ids, np.int32(END_ID).tobytes()]), np.int32)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        flat = np.concatenate([*ids, np.array([END_ID], np.int32)])
-        with_end = np.insert(codes, offsets[1:], 2 * n)
-        skip = np.insert(in_odd, offsets[1:], odd_text)
-        with_end = with_end[~skip]
-        lengths = sizes[with_end]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        take = np.arange(total) + np.repeat(starts[with_end] - (ends - lengths), lengths)
+        owner = np.repeat(np.arange(n_texts), np.diff(offsets))[~in_odd]
+        both = np.concatenate([parts[place[codes]].reshape(-1), np.full(n_texts, len(ids), np.int32)])
+        whose = np.concatenate([np.repeat(owner, 2), np.arange(n_texts)])
+        some = sizes[both] > 0
+        some[-n_texts:] = ~odd_text
+        both, whose = both[some], whose[some]
+        order = np.argsort(whose, kind="stable")
+        both, whose = both[order], whose[order]
+        lengths = sizes[both]
+        take = np.arange(int(lengths.sum())) + np.repeat(starts[both] - (np.cumsum(lengths) - lengths), lengths)
         values = flat[take]
-        owner = np.repeat(np.arange(n_texts), np.diff(offsets) + 1)[~skip]
-        per_text = np.bincount(owner, weights=lengths, minlength=n_texts).astype(np.int64)
+        per_text = np.bincount(whose, weights=lengths, minlength=n_texts).astype(np.int64)
         if odd_text.any():
             at = np.flatnonzero(odd_text)
-            whole = self.whole([column[int(i)].as_py() for i in at])
+            whole = [e.ids for e in self.tokenizer.encode_batch([column[int(i)].as_py() for i in at], add_special_tokens=False)]
             per_text[at] = [len(x) + 1 for x in whole]
             bounds = np.concatenate([[0], np.cumsum(per_text)])
             out = np.empty(bounds[-1], np.int32)
-            mask = np.repeat(~odd_text, per_text)
-            out[mask] = values
+            out[np.repeat(~odd_text, per_text)] = values
             for i, x in zip(at, whole):
-                out[bounds[i]:bounds[i + 1] - 1] = x
-                out[bounds[i + 1] - 1] = END_ID
+                out[bounds[i]:bounds[i + 1]] = [*x, END_ID]
             values = out
         bounds = np.concatenate([[0], np.cumsum(per_text)])
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32()))
@@ -124,7 +157,7 @@ def encoder(path: str) -> Encoder:
 
 def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4 << 20):
+        for batch in slices(batches, 6 << 20):
             ids = encoder(path).encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
@@ -143,7 +176,7 @@ def write_tokens(
     `tokenizer_path` must be readable by all executors. What lies at `out` is replaced.
     """
     rows = texts(docs, id_col, text_col)
-    ordered = rows.repartitionByRange(text_parts(rows), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(text_parts(rows, 16 << 20), "doc_id").sortWithinPartitions("doc_id", "text")
     encoded = ordered.mapInArrow(_encode(tokenizer_path), "doc_id bigint, ids array<int>")
     encoded.write.mode("overwrite").options(**ORC_OPTIONS).orc(out)
 

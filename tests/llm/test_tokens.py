@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,19 +17,22 @@ from sentilode.llm.queries import public_vocabulary
 from tokenizers import Tokenizer
 
 
+@cache
+def tokenizer():
+    found = Tokenizer.from_file(public_vocabulary())
+    found.encode_special_tokens = True
+    return found
+
+
 @pytest.fixture(scope="module")
 def plain():
-    tokenizer = Tokenizer.from_file(public_vocabulary())
-    tokenizer.encode_special_tokens = True
-    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+    return lambda text: [*tokenizer().encode(text or "", add_special_tokens=False).ids, 2]
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet="ab.'s 1\n\té\xa0　<|endoftext|>😀", max_size=25), min_size=1, max_size=6))
 def test_same_ids(texts):
-    tokenizer = Tokenizer.from_file(public_vocabulary())
-    tokenizer.encode_special_tokens = True
-    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    want = [[*tokenizer().encode(t, add_special_tokens=False).ids, 2] for t in texts]
     assert tokens.encoder(public_vocabulary()).encode(pa.array(texts)).to_pylist() == want
 
 
