@@ -7,23 +7,24 @@ import numpy as np
 # Odd 64-bit constants of a multiplicative hash.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
+_SIZE = 0x2545F4914F6CDD1D
+_SPACES = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
 
 
 def hashed(text: str, lengths: tuple[int, ...], bits: int) -> np.ndarray:
-    """The feature of every n-gram of UTF-8 bytes, lower case, line ends as spaces, a space at both ends."""
-    data = np.frombuffer((" " + text + " ").encode("utf-8", "replace").translate(_LOWER), np.uint8).astype(np.uint64)
-    out = []
-    for n in lengths:
-        size = len(data) - n + 1
-        if size <= 0:
-            continue
-        h = np.full(size, n, np.uint64)
-        for k in range(n):
-            h = h * _BASE + data[k:k + size]
-        h ^= h >> np.uint64(29)
-        h *= _MIX
-        out.append((h >> np.uint64(64 - bits)).astype(np.int32))
+    """The feature of every n-gram of code points, in lower case, line ends as spaces, a space at both ends."""
+    plain = f" {text} ".lower().translate(_SPACES).encode("utf-32-le", "replace")
+    data = np.frombuffer(plain, np.uint32).astype(np.uint64)
+    out, rolling = [], data
+    for n in range(1, min(max(lengths), len(data)) + 1):
+        if n > 1:
+            rolling = rolling[:-1] * _BASE
+            rolling += data[n - 1:]
+        if n in lengths:
+            h = rolling + np.uint64(n * _SIZE % (1 << 64))
+            h ^= h >> np.uint64(29)
+            h *= _MIX
+            out.append((h >> np.uint64(64 - bits)).astype(np.int32))
     return np.concatenate(out) if out else np.zeros(0, np.int32)
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.llm.common import slices, spread_texts, texts
 from sentilode.llm.ngrams import hashed, sigmoid
-from sentilode.session import materialize
 
 LENGTHS = (1, 2, 3)
 BITS = 18
@@ -19,7 +18,7 @@ BITS = 18
 FIT_ROWS = 8_000
 FIT_CHARS = 32 << 20
 PENALTY = 1e-5
-STEPS = 150
+STEPS = 300
 # A text is kept if its grade is 1 or more with at least this probability.
 KEEP_GRADE, KEEP_PROBABILITY = 1, 0.5
 
@@ -59,6 +58,7 @@ def fit_ordinal(
     columns = np.concatenate([f for f, _ in found])
     value = np.concatenate([v for _, v in found])
     owner = np.repeat(np.arange(n), [len(f) for f, _ in found])
+    # A step of 1 over the largest curvature: rows have length 1 or less.
     vw, vf, t, rate = w.copy(), free.copy(), 1.0, 4.0
     rows = np.arange(n)
     for _ in range(steps):
@@ -74,7 +74,7 @@ def fit_ordinal(
         np.add.at(by_cut, np.minimum(grades, last), np.where(grades <= last, -slope[rows, grades + 1] / p / n, 0.0))
         gw = np.bincount(columns, value * by_margin[owner], size) + penalty * vw
         gf = np.concatenate([[by_cut.sum()], [by_cut[k:].sum() * np.exp(vf[k]) for k in range(1, len(cuts))]])
-        w2, f2 = vw - rate * 10 * gw, vf - rate * 0.1 * gf
+        w2, f2 = vw - rate * gw, vf - 0.5 * gf
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         vw, vf = w2 + (t - 1) / t2 * (w2 - w), f2 + (t - 1) / t2 * (f2 - free)
         w, free, t = w2, f2, t2

@@ -4,25 +4,31 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.llm.common import slices, spread_texts, texts
-from sentilode.llm.ngrams import Presence, sigmoid
+from sentilode.llm.ngrams import Presence, hashed, sigmoid
 from sentilode.session import materialize
 
-LENGTHS = (4, 5, 6)
+LENGTHS = (4, 5, 6, 7)
 BITS = 20
-SMOOTHING = 1.0
-# The linear model is fitted on at most so many labelled rows (and so many bytes of their texts); the ratios use all of them.
-FIT_ROWS = 12_000
-FIT_BYTES = 48 << 20
-PENALTY = 1e-4
+# Pseudo-texts of each label, in equal shares, that a feature starts with.
+SMOOTHING = 2.0
+# Features in fewer texts, or that tell the labels apart by less, are left out.
+MIN_TEXTS, MIN_RATIO = 2, 2.0
+# The linear model is fitted on at most so many labelled rows and characters of texts; the ratios use all rows.
+FIT_ROWS = 8_000
+FIT_CHARS = 32 << 20
+PENALTY = 1e-3
 STEPS = 150
+# Each of so many parts of the labelled rows is scored by a model of the others, to turn margins into probabilities.
+FOLDS = 3
 THRESHOLD = 0.7
-MODEL_SCHEMA = "features int, model binary"
+MODEL_SCHEMA = "model binary"
 
 
 def held_out(doc_id: Column) -> Column:
@@ -33,101 +39,176 @@ def held_out(doc_id: Column) -> Column:
 def _count(lengths: tuple[int, ...], bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         presence = Presence(lengths, bits)
-        counts = np.zeros((2, 1 << bits), np.int64)
-        rows = np.zeros(2, np.int64)
+        counts = np.zeros((2 * FOLDS, (1 << bits) + 1), np.int32)
         for batch in slices(batches):
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                counts[label][presence(text)] += 1
-                rows[label] += 1
+            for text, label, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "fold"))):
+                own = counts[label * FOLDS + fold]
+                own[presence(text)] += 1
+                own[-1] += 1
         used = np.flatnonzero(counts.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(used, -1).astype(np.int32)),
-                pa.array(np.append(counts[1][used], rows[1])),
-                pa.array(np.append(counts[0][used], rows[0])),
-            ],
-            ["feature", "n1", "n0"],
-        )
+        for k in range(0, len(used), 100_000):
+            block = used[k:k + 100_000]
+            feature = np.where(block == 1 << bits, -1, block).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(feature), *[pa.array(row[block].astype(np.int64)) for row in counts]], ["feature", *COUNTS]
+            )
 
     return run
 
 
-def log_count_ratios(labelled: DataFrame, lengths: tuple[int, ...] = LENGTHS, bits: int = BITS) -> DataFrame:
-    """(feature, n1, n0): texts of each label that have the feature, from all rows of (text, label).
+COUNTS = [f"n{label}_{fold}" for label in (0, 1) for fold in range(FOLDS)]
 
-    Counts are added up in each task first, so a task sends one row per feature at most; feature -1 counts the texts.
-    """
-    counted = labelled.mapInArrow(_count(lengths, bits), "feature int, n1 bigint, n0 bigint")
-    return counted.groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
+def feature_counts(
+    labelled: DataFrame, lengths: tuple[int, ...] = LENGTHS, bits: int = BITS, smoothing: float = SMOOTHING,
+    min_texts: int = MIN_TEXTS, min_ratio: float = MIN_RATIO,
+) -> DataFrame:
+    """(feature, texts with it per label and fold) from all rows of (text, label, fold), for features that tell the labels apart.
 
-def ratio_vector(features: np.ndarray, n1: np.ndarray, n0: np.ndarray, bits: int, smoothing: float) -> np.ndarray:
-    """Log of the smoothed share of toxic texts with a feature over that of other texts."""
-    texts = features == -1
-    rows = [float(x[texts].sum()) for x in (n1, n0)]
-    counts = np.zeros((2, 1 << bits))
-    counts[1][features[~texts]] = n1[~texts]
-    counts[0][features[~texts]] = n0[~texts]
-    share = [(counts[y] + smoothing) / (r + 2 * smoothing) for y, r in ((1, rows[0]), (0, rows[1]))]
-    ratio = np.log(share[0] / share[1])
-    ratio[counts.sum(axis=0) == 0] = 0.0
-    return ratio
+    Counts are added up in each task first, so a task sends one row per feature at most; feature -1 counts the texts.
+    """
+    counted = labelled.mapInArrow(_count(lengths, bits), "feature int, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    counted = materialize(counted.groupBy("feature").agg(*[F.sum(c).alias(c) for c in COUNTS]), "toxicity-counts")
+    n = [reduce(lambda a, b: a + b, [F.col(f"n{label}_{k}") for k in range(FOLDS)]) for label in (0, 1)]
+    every = counted.filter(F.col("feature") == -1).select(n[0].alias("n0"), n[1].alias("n1")).first()
+    if every is None or not every["n0"] or not every["n1"]:
+        return counted.filter(F.col("feature") == -1)
+    share = [(n[y] * (sum(every) / every[f"n{y}"]) + smoothing) for y in (1, 0)]
+    telling = (n[0] + n[1] >= min_texts) & (F.abs(F.log(share[0] / share[1])) >= min_ratio)
+    return counted.filter((F.col("feature") == -1) | telling)
+
+
+def log_count_ratios(
+    feature: np.ndarray, n1: np.ndarray, n0: np.ndarray, bits: int,
+    smoothing: float = SMOOTHING, min_texts: int = MIN_TEXTS, min_ratio: float = MIN_RATIO,
+) -> np.ndarray:
+    """Per feature the log of its share of toxic texts over that of other texts, 0 if it tells nothing."""
+    out = np.zeros(1 << bits)
+    own = feature >= 0
+    all1, all0 = max(1, n1[~own].sum()), max(1, n0[~own].sum())
+    feature, n1, n0 = feature[own], n1[own], n0[own]
+    ratio = np.log((n1 * ((all1 + all0) / all1) + smoothing) / (n0 * ((all1 + all0) / all0) + smoothing))
+    ratio[(n1 + n0 < min_texts) | (np.abs(ratio) < min_ratio)] = 0.0
+    out[feature] = ratio
+    return out
 
 
 def fit_linear(
     found: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, penalty: float, steps: int
-) -> tuple[np.ndarray, float]:
-    """(weight per feature, bias) of a logistic model on features times ratio, by accelerated gradient descent.
+) -> np.ndarray:
+    """The weight per feature of a logistic model on features times ratio, by accelerated gradient descent.
 
-    A text's features are scaled to length 1, so that long texts do not outweigh short ones. The
-    result is the product of learned weight and ratio. One class alone gives weights of 0 and its smoothed share.
+    A text's features are scaled to length 1, so that long texts do not outweigh short ones, and either class has half of
+    the weight. The result is the product of learned weight and ratio; one class alone gives weights of 0.
     """
     n = len(labels)
-    share = (labels.sum() + 1.0) / (n + 2.0)
-    bias = float(np.log(share / (1 - share)))
+    out = np.zeros(len(ratio))
     if n == 0 or labels.min() == labels.max():
-        return np.zeros(len(ratio)), bias
-    sizes = np.array([len(f) for f in found])
-    columns = np.concatenate(found)
-    owner = np.repeat(np.arange(n), sizes)
-    value = ratio[columns]
+        return out
+    columns, place = np.unique(np.concatenate(found), return_inverse=True)
+    owner = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in found])
+    value = ratio[columns][place]
     norm = np.sqrt(np.bincount(owner, value * value, n))
-    value = value / np.maximum(norm, 1e-12)[owner]
-    # Either class has half of the weight; the bias is corrected for that after the fit.
+    value /= np.maximum(norm, 1e-12)[owner]
     part = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (n - labels.sum()))
-    w, b = np.zeros(len(ratio)), 0.0
-    vw, vb, t, rate = w.copy(), b, 1.0, 2.0
+    # A step of 1 over the largest curvature: rows have length 1 and a bias.
+    rate = 2.0
+    w, b = np.zeros(len(columns)), 0.0
+    vw, vb, t = w.copy(), b, 1.0
     for _ in range(steps):
-        margin = np.bincount(owner, value * vw[columns], n) + vb
-        error = (sigmoid(margin) - labels) * part
-        gw = np.bincount(columns, value * error[owner], len(ratio)) + penalty * vw
-        gb = error.sum()
-        w2, b2 = vw - rate * gw, vb - rate * gb
+        error = (sigmoid(np.bincount(owner, value * vw[place], n) + vb) - labels) * part
+        w2 = vw - rate * (np.bincount(place, value * error[owner], len(columns)) + penalty * vw)
+        b2 = vb - rate * error.sum()
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         vw, vb = w2 + (t - 1) / t2 * (w2 - w), b2 + (t - 1) / t2 * (b2 - b)
         w, b, t = w2, b2, t2
-    return w * ratio, b + bias
+    out[columns] = w * ratio[columns]
+    return out
+
+
+def calibrate(margins: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, float]:
+    """(slope, shift) so that sigmoid(slope * margin + shift) is the probability of a label, after Platt.
 
+    Newton steps on the likelihood of smoothed labels. With one label alone the shift gives the share of label 1.
+    """
+    ones, zeros = labels.sum(), (1 - labels).sum()
+    if not ones or not zeros or margins.max() == margins.min():
+        return 1.0, float(np.log(share / (1 - share)))
+    goal = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    scale = margins.std()
+    x = np.stack([margins / scale, np.ones(len(margins))])
+    theta = np.array([1.0, np.log((ones + 1) / (zeros + 1))])
+
+    def loss(at: np.ndarray) -> float:
+        z = at @ x
+        return float((np.logaddexp(0, z) - goal * z).sum() + 1e-3 * at[0] ** 2)
+
+    for _ in range(60):
+        p = sigmoid(theta @ x)
+        slope = x @ (p - goal) + np.array([2e-3 * theta[0], 0])
+        curve = (x * (p * (1 - p))) @ x.T + np.diag([2e-3, 1e-9])
+        step = np.linalg.solve(curve, slope)
+        size = 1.0
+        while size > 1e-6 and loss(theta - size * step) > loss(theta):
+            size /= 2
+        theta = theta - size * step
+    return float(max(theta[0], 1e-3) / scale), float(theta[1])
+
+
+def margins(found: list[np.ndarray], weights: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """The margin of each text by its features."""
+    return np.array([weights[f].sum() / max(np.sqrt((ratio[f] ** 2).sum()), 1e-12) for f in found])
+
+
+def fit_model(
+    rows: Iterator[tuple[str, int, int]], counts: dict[str, np.ndarray], lengths: tuple[int, ...], bits: int, penalty: float, steps: int
+) -> dict:
+    """The model from (text, label, fold) and the counts of every feature per label and fold.
 
-def _fit(
-    ratio: np.ndarray, lengths: tuple[int, ...], bits: int, penalty: float, steps: int, most_rows: int, most_bytes: int
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    Ratios and weights of a fold's calibration come from the other folds alone; those of the model from all.
+    """
+    found, labels, folds = [], [], []
+    telling = np.zeros(1 << bits, bool)
+    telling[counts["feature"][counts["feature"] >= 0]] = True
+    for text, label, fold in rows:
+        own = hashed(text, lengths, bits)
+        found.append(np.unique(own[telling[own]]))
+        labels.append(label)
+        folds.append(fold)
+    y, fold = np.array(labels, np.float64), np.array(folds, np.int64)
+
+    def fitted(which: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        n1, n0 = (sum((counts[f"n{label}_{k}"] for k in which), np.zeros(len(counts["feature"]))) for label in (1, 0))
+        ratio = log_count_ratios(counts["feature"], n1, n0, bits)
+        use = np.flatnonzero(np.isin(fold, which))
+        return fit_linear([found[k][ratio[found[k]] != 0] for k in use], y[use], ratio, penalty, steps), ratio
+
+    left = np.zeros(len(y))
+    for k in range(FOLDS):
+        out = np.flatnonzero(fold == k)
+        weights, ratio = fitted([j for j in range(FOLDS) if j != k])
+        left[out] = margins([found[i] for i in out], weights, ratio)
+    weights, ratio = fitted(list(range(FOLDS)))
+    slope, shift = calibrate(left, y, (y.sum() + 1) / (len(y) + 2))
+    used = np.flatnonzero(ratio)
+    return {
+        "used": used.astype(np.int32), "ratio": ratio[used].astype(np.float32), "weights": weights[used].astype(np.float32),
+        "lengths": lengths, "bits": bits, "slope": slope, "shift": shift,
+    }
+
+
+def _fit(counts: dict, most_rows: int, most_chars: int, *how) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        presence, found, labels, size = Presence(lengths, bits), [], [], 0
-        for batch in slices(batches):
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                if len(found) < most_rows and size < most_bytes:
-                    size += len(text)
-                    # Features that say next to nothing only cost memory.
-                    own = presence(text)
-                    found.append(own[np.abs(ratio[own]) > 0.05])
-                    labels.append(label)
-        weights, bias = fit_linear(found, np.array(labels, np.float64), ratio, penalty, steps)
-        used = np.flatnonzero(weights)
-        model = {"ratio": ratio.astype(np.float32), "used": used, "weights": weights[used].astype(np.float32), "bias": bias}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([len(used)], pa.int32()), pa.array([pickle.dumps(model)], pa.binary())], ["features", "model"]
-        )
+        def rows() -> Iterator[tuple[str, int, int]]:
+            n = size = 0
+            for batch in slices(batches):
+                for row in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "fold"))):
+                    if n < most_rows and size < most_chars:
+                        n, size = n + 1, size + len(row[0])
+                        yield row
+
+        model = fit_model(rows(), counts, *how)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     return run
 
@@ -142,53 +223,54 @@ def train(
     penalty: float = PENALTY,
     steps: int = STEPS,
     fit_rows: int = FIT_ROWS,
-    fit_bytes: int = FIT_BYTES,
+    fit_chars: int = FIT_CHARS,
 ) -> dict:
     """The model learned from labelled rows that are not held out.
 
-    Log-count ratios come from all of them. The linear model is fitted in one task on at most `fit_rows` rows
-    and `fit_bytes` characters, drawn by a hash of the id. Rows with a null text, id or label, or with a
-    label other than 0 and 1, teach nothing. An id labelled more than once teaches each of its labels. The
-    model has 2**bits features at most, so what the driver gets does not grow with the data.
+    Log-count ratios come from all of them. The linear model is fitted, and calibrated by folds, in one task on at most
+    `fit_rows` rows and `fit_chars` characters, drawn by a hash of the id. Rows with a null text, id or label, or with a
+    label other than 0 and 1, teach nothing. An id labelled more than once teaches each of its labels. The model has 2**bits
+    features at most, so what the driver gets does not grow with the data.
     """
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     usable = usable.filter(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    labelled = texts(known).join(usable, "doc_id").select("doc_id", "text", "label")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    labelled = texts(known).join(usable, "doc_id").select("doc_id", "text", "label", fold.alias("fold"))
     labelled = materialize(labelled, "toxicity-labelled")
     total = labelled.count()
-    counts = log_count_ratios(labelled.select("text", "label"), lengths, bits).toPandas()
-    ratio = ratio_vector(*(counts[c].to_numpy() for c in ("feature", "n1", "n0")), bits, smoothing)
+    table = feature_counts(labelled.select("text", "label", "fold"), lengths, bits, smoothing).toArrow()
+    counts = {c: table.column(c).to_numpy() for c in ("feature", *COUNTS)}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000))
     drawn = labelled.filter(draw < int(min(1.0, 1.1 * fit_rows / max(total, 1)) * 1_000_000))
-    fit = _fit(ratio, lengths, bits, penalty, steps, fit_rows, fit_bytes)
+    fit = _fit(counts, fit_rows, fit_chars, lengths, bits, penalty, steps)
     # One task: the rows are few by the parameter, and in a fixed order.
-    found = drawn.select("doc_id", "text", "label").repartition(1).sortWithinPartitions("doc_id", "label").mapInArrow(fit, MODEL_SCHEMA)
-    row = found.first()
+    drawn = drawn.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "label", "text")
+    row = drawn.mapInArrow(fit, MODEL_SCHEMA).first()
     # Without any rows Spark may run no task.
-    model = pickle.loads(row["model"] if row else next(fit(iter([]))).column("model")[0].as_py())
-    return model | {"lengths": lengths, "bits": bits}
+    return pickle.loads(row["model"] if row else next(fit(iter([]))).column("model")[0].as_py())
 
 
 class Scorer:
     """Scores of texts by a model, in one task."""
 
     def __init__(self, model: dict) -> None:
-        self.presence = Presence(model["lengths"], model["bits"])
+        self.how = model["lengths"], model["bits"]
+        self.telling = np.zeros(1 << model["bits"], bool)
+        self.telling[model["used"]] = True
         self.weights = np.zeros(1 << model["bits"], np.float64)
+        self.square = np.zeros(1 << model["bits"], np.float64)
         self.weights[model["used"]] = model["weights"]
-        # As in the fit: features that say next to nothing do not count in a text's length.
-        self.square = model["ratio"].astype(np.float64) ** 2
-        self.square[self.square <= 0.05**2] = 0.0
-        self.bias = model["bias"]
+        self.square[model["used"]] = model["ratio"].astype(np.float64) ** 2
+        self.slope, self.shift = model["slope"], model["shift"]
+
+    def margin(self, text: str) -> float:
+        found = hashed(text, *self.how)
+        found = np.unique(found[self.telling[found]])
+        return self.weights[found].sum() / max(np.sqrt(self.square[found].sum()), 1e-12)
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        margins = []
-        for text in texts:
-            found = self.presence(text or "")
-            norm = np.sqrt(self.square[found].sum())
-            margins.append(self.weights[found].sum() / max(norm, 1e-12) + self.bias)
-        return sigmoid(np.array(margins, np.float64))
+        return sigmoid(self.slope * np.array([self.margin(text or "") for text in texts], np.float64) + self.shift)
 
 
 def _score(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
