@@ -2,8 +2,8 @@
 
 Repeats are found in rounds. In each, a chunk (a few megabytes of whole texts, chosen by a hash of the id)
 sends hashes or strings to buckets, a bucket compares what all chunks have sent, and answers each of them.
-A chunk sends a hash twice at most, so a passage that a third of all texts share costs a bucket two entries
-per chunk and not one per text. The shuffled texts are the same exchange in every round.
+Of a chunk's texts, a batch sends a hash twice at most, so a passage that a third of all texts share costs a
+bucket a few entries per chunk and not one per text. The shuffled texts are the same exchange in every round.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ def _answer(table: pa.Table) -> pa.Table:
     chunks, answers = [], []
     for chunk, own in zip(table.column("chunk").to_pylist(), payload):
         own = np.unique(own)
-        own = own[np.isin(own, repeated, assume_unique=True)]
+        own = own[members(own, repeated)]
         if len(own):
             chunks.append(chunk)
             answers.append(own.tobytes())
