@@ -17,13 +17,13 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that the classifier rejects go."""
-    ship(spark.sparkContext)
+    ship(spark)
     return toxicity.drop_toxic(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates the document with the smallest id stays; rows without an id stay."""
-    ship(spark.sparkContext)
+    ship(spark)
     found = near.near_duplicates(docs)
     gone = materialize(found.filter(~F.col("kept")).select("doc_id").distinct(), "pipeline-copies")
     small = measured_bytes(gone) <= BROADCAST_BYTES
@@ -32,13 +32,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with a test item go."""
-    ship(spark.sparkContext)
+    ship(spark)
     return decontaminate.drop_contaminated(docs, load(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    ship(spark.sparkContext)
+    ship(spark)
     mixed = mixing.mix(docs).filter(F.col("copies") > 0)
     copies = mixed.select("doc", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"))
     return copies.select("doc.*")
@@ -46,7 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in files in the shared folder, and what these hold per document."""
-    ship(spark.sparkContext)
+    ship(spark)
     return tokens.round_trip(docs, public_vocabulary())
 
 

@@ -35,6 +35,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
+def joined(batches: Iterable[pa.RecordBatch], least_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows with small batches put together until they have `least_bytes`."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= least_bytes:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def text_parts(docs: DataFrame, task_bytes: int = TASK_BYTES) -> int:
     """How many parts the texts of (doc_id, text) take at `task_bytes` each; one aggregate over them."""
     size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0

@@ -8,7 +8,6 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
-from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +15,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 _shipped: set[str] = set()
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def ship(context: SparkContext) -> None:
-    """Give the executors this package, for sessions whose workers cannot import it; once per application."""
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, for sessions whose workers cannot import it; once per application.
+
+    Batches of Spark's default size are tens of megabytes of text, on both sides of each worker; a session that has
+    left that size alone gets smaller ones.
+    """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
+    context = spark.sparkContext
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
@@ -35,7 +42,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         @wraps(run)
         def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark.sparkContext)
+            ship(spark)
             return run(spark, sf_dir)
 
         QUERIES[name] = shipped

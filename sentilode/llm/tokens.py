@@ -12,13 +12,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from sentilode.llm.common import slices, text_parts, texts
+from sentilode.llm.common import joined, slices, text_parts, texts
 from sentilode.session import materialize, scratch_path
 
 # Fixed value: the id that ends a document.
 END_ID = 2
 # A worker forgets the words it has seen when it knows this many.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.stripe.size": str(16 << 20),
@@ -157,7 +157,7 @@ def encoder(path: str) -> Encoder:
 
 def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 6 << 20):
+        for batch in slices(joined(batches), 6 << 20):
             ids = encoder(path).encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
