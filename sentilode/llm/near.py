@@ -10,11 +10,11 @@ once by maximum likelihood, with the known sizes of the sets; where that is not
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.llm.chunks import Corpus, mixed
 from sentilode.llm.common import slices, spread_texts
@@ -35,8 +35,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65_535
 SLACK = 0.2
 # A group larger than one of these is verified in blocks.
 BLOCK_SETS, BLOCK_SHINGLES = 4_096, 4_000_000
-# Sets of a component of a block that meet those of other blocks first.
-SPINE = 32
+# Of a unit of blocks, parts that hold a share of 1 / PARTS of it meet those of other units first, with about SPINE sets each.
+PARTS, SPINE = 16, 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -80,11 +80,11 @@ def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def estimate(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The Jaccard similarity of one set with others that maximises the joint likelihood of all registers.
+def _likelihood(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray) -> tuple[Callable[[np.ndarray], np.ndarray], np.ndarray]:
+    """(derivative of the joint likelihood of all registers by the Jaccard similarity, largest similarity that the sizes allow).
 
     Given the sizes, a register of the first is larger, or smaller, with a probability that depends on the similarity
-    alone; the likelihood is concave, and is maximised by bisection of its derivative.
+    alone; the likelihood is concave.
     """
     m = own.shape[-1]
     more = (others < own).sum(axis=1).astype(np.float64)
@@ -93,7 +93,6 @@ def estimate(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray)
     v = 1 - u
     step = (BASE - 1) / BASE
     scale = 1 / np.log(BASE)
-    low, high = np.zeros(len(sizes)), np.minimum(u / v, v / u)
 
     def slope(j: np.ndarray) -> np.ndarray:
         a, b = np.maximum(u - v * j, 1e-12), np.maximum(v - u * j, 1e-12)
@@ -102,6 +101,13 @@ def estimate(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray)
         same = np.maximum(1 - pa_ - pb, 1e-12)
         return more * da / pa_ + less * db / pb - (m - more - less) * (da + db) / same
 
+    return slope, np.minimum(u / v, v / u)
+
+
+def estimate(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The Jaccard similarity of one set with others of the largest likelihood, by bisection of its derivative."""
+    slope, high = _likelihood(own, size, others, sizes)
+    low = np.zeros(len(sizes))
     for _ in range(20):
         middle = (low + high) / 2
         up = slope(middle) > 0
@@ -109,6 +115,12 @@ def estimate(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray)
     return (low + high) / 2
 
 
+def likely(own: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, least: float) -> np.ndarray:
+    """Whether the estimates are `least` or more: then the likelihood still grows there. One step instead of twenty."""
+    slope, high = _likelihood(own, size, others, sizes)
+    return (high >= least) & (slope(np.full(len(sizes), least)) >= 0)
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two full sets are similar enough."""
     if percent * max(len(a), len(b)) > 100 * min(len(a), len(b)):
@@ -124,7 +136,8 @@ def link_group(
 
     One set at a time is compared with all that are not in its component yet. That ends when all but the largest
     component have been asked: a link between two components has an end outside the largest. So a group of copies of one
-    text costs one pass, and no pair within a component is looked at. `ask` limits the questions to some sets.
+    text costs one pass, and no pair within a component is looked at. With `ask` only these sets are compared, and only
+    with those that do not ask.
     """
     labels = labels.copy()
     sizes = np.array([len(s) for s in sets], np.float64)
@@ -140,13 +153,13 @@ def link_group(
             return edges
         x = int(rest[0])
         asked[x] = True
-        others = np.flatnonzero(labels != labels[x])
+        others = np.flatnonzero(labels != labels[x] if ask is None else (labels != labels[x]) & ~ask)
         near = np.minimum(sizes[others], sizes[x]) * 100 >= percent * np.maximum(sizes[others], sizes[x])
         others = others[near]
+        others = others[likely(registers[x], len(sets[x]), registers[others], sizes[others], percent / 100 - SLACK)]
         guess = estimate(registers[x], len(sets[x]), registers[others], sizes[others])
-        good = guess >= percent / 100 - SLACK
         # The likeliest first: most links are found at once, and their components need no further look.
-        for y in others[good][np.argsort(-guess[good], kind="stable")].tolist():
+        for y in others[np.argsort(-guess, kind="stable")].tolist():
             if labels[y] != labels[x] and linked(sets[x], sets[y], percent):
                 edges.append((ids[x], ids[y]))
                 labels[labels == labels[y]] = labels[x]
@@ -208,17 +221,19 @@ def _edge_table(edges: list[tuple[int, int]]) -> pa.Table:
 def _link(percent: int):
     def run(table: pa.Table) -> pa.Table:
         ids, sets, registers = _read_group(table)
-        found, labels = np.unique(ids, return_inverse=True)
+        _, labels = np.unique(table.column("found" if "found" in table.column_names else "doc_id"), return_inverse=True)
         return _edge_table(link_group(ids, sets, registers, labels, percent))
 
     return run
 
 
 def _ask(percent: int):
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        _, tile, other = (k.as_py() for k in key)
         ids, sets, registers = _read_group(table)
         labels = table.column("found").to_numpy()
-        ask = table.column("asks").to_numpy(zero_copy_only=False)
+        # A tile of askers meets itself, or a block of others.
+        ask = None if other == -1 - tile else table.column("asks").to_numpy(zero_copy_only=False)
         return _edge_table(link_group(ids, sets, registers, labels, percent, ask))
 
     return run
@@ -234,50 +249,83 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
     return components(edges, "near-candidates")
 
 
+def _blocks(n_sets: Column, n_shingles: Column) -> Column:
+    """Blocks that so many sets take."""
+    return F.greatest(F.ceil(n_sets / BLOCK_SETS), F.ceil(n_shingles / BLOCK_SHINGLES)).cast("int")
+
+
 def verified_links(docs: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): links that join all texts of a group that hang together, checked on the full sets.
 
-    A group goes to one task if it is within BLOCK_SETS and BLOCK_SHINGLES. A larger one is linked in blocks; then SPINE
-    sets of each component of each block are linked with each other, which joins what hangs together closely; last,
-    every set outside the largest component so far is compared with all sets of the group, block by block.
+    A group goes to one task if it is within BLOCK_SETS and BLOCK_SHINGLES. A larger one is linked in blocks. Then its
+    blocks are merged in rounds, a few at a time, by some sets of their largest parts, which joins what hangs together
+    closely. Last, the sets outside the largest component so far ask: they are dealt into tiles of a block's size,
+    and each tile meets itself, each later tile and each block of the others. So every pair that may still count is
+    compared, and no task holds more than two blocks.
     """
     rows = lookup_join(docs, groups.withColumnRenamed("node", "doc_id"), "doc_id", "inner")
     schema = "doc_id bigint, component bigint, shingles binary, registers binary"
     sets = materialize(rows.select("doc_id", "text", "component").mapInArrow(_set_rows, schema), "near-sets")
-    sizes = sets.groupBy("component").agg(
-        F.greatest(
-            F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum(F.octet_length("shingles")) / (8 * BLOCK_SHINGLES))
-        ).cast("int").alias("blocks")
-    )
+    size = F.octet_length("shingles") / 8
+    sizes = sets.groupBy("component").agg(_blocks(F.count("*"), F.sum(size)).alias("blocks"))
     large = materialize(sizes.filter(F.col("blocks") > 1), "near-large")
-    block = F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1)))
+    block = F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1))).cast("int")
     blocked = sets.join(large, "component", "left").withColumn("block", block)
     within = blocked.groupBy("component", "block").applyInArrow(_link(percent), EDGES)
-    within = materialize(within, "near-links")
+    links = materialize(within, "near-links")
     if large.isEmpty():
-        return within
-    hot = sets.join(large, "component").withColumn("block", block)
+        return links
+    places = lookup_join(sets.select("doc_id", "component", size.alias("_m")), large, "component", "inner").withColumn("block", block)
+    places = places.groupBy("component", "doc_id", "block", "blocks").agg(F.count("*").alias("_n"), F.sum("_m").alias("_m"))
+    places = materialize(places, "near-places")
 
-    def with_found(links: DataFrame) -> DataFrame:
+    def labelled(links: DataFrame) -> DataFrame:
         joined = components(links, "near-found").toDF("node", "joined")
-        return hot.join(joined, F.col("doc_id") == F.col("node"), "left").withColumn("found", F.coalesce("joined", "doc_id")).drop("node", "joined")
-
-    placed = with_found(within)
-    drawn = F.hash("doc_id")
-    few = placed.groupBy("component", "block", "found").agg(F.min_by("doc_id", drawn).alias("_one"), F.count("*").alias("_n"))
-    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) * F.col("_n") < SPINE * 1_000_000
-    spine = placed.join(few, ["component", "block", "found"]).filter(part | (F.col("doc_id") == F.col("_one")))
-    spined = spine.select("component", "doc_id", "shingles", "registers").groupBy("component").applyInArrow(_link(percent), EDGES)
-    links = materialize(within.unionByName(spined), "near-links")
-    placed = materialize(with_found(links), "near-placed")
-    counts = placed.groupBy("component", "found").agg(F.count("*").alias("_n"))
-    most = counts.groupBy("component").agg(F.max_by("found", F.struct("_n", "found")).alias("most"))
-    placed = placed.join(most, "component")
-    asking = placed.filter(F.col("found") != F.col("most")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["component", F.col("block").cast("int").alias("block"), "doc_id", "found", "shingles", "registers"]
-    last = placed.select(*columns, F.lit(False).alias("asks")).unionByName(asking.select(*columns, F.lit(True).alias("asks")))
-    last = last.groupBy("component", "block").applyInArrow(_ask(percent), EDGES)
-    return links.unionByName(last)
+        found = places.join(joined, F.col("doc_id") == F.col("node"), "left").withColumn("found", F.coalesce("joined", "doc_id"))
+        return materialize(found.drop("node", "joined"), "near-placed")
+
+    def full(chosen: DataFrame) -> DataFrame:
+        return lookup_join(sets.drop("component"), chosen, "doc_id", "inner")
+
+    placed, span, most = labelled(links), 1, large.agg(F.max("blocks")).first()[0]
+    totals = [F.sum("_n").alias("_sets"), F.sum("_m").alias("_shingles")]
+    share = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) / 1_000_000
+    fan = max(2, BLOCK_SETS // (PARTS * SPINE))
+    while span < most:
+        units = placed.withColumn("unit", F.floor(F.col("block") / span))
+        parts = units.groupBy("component", "unit", "found").agg(*totals, F.min_by("doc_id", F.hash("doc_id")).alias("_one"))
+        whole = units.groupBy("component", "unit").agg(F.sum("_n").alias("_all"))
+        parts = parts.join(whole, ["component", "unit"]).filter(F.col("_sets") * PARTS >= F.col("_all"))
+        few = (share * F.col("_sets") < SPINE) & (share * F.col("_shingles") < SPINE * BLOCK_SHINGLES / BLOCK_SETS)
+        drawn = units.join(parts, ["component", "unit", "found"]).filter(few | (F.col("doc_id") == F.col("_one")))
+        span *= fan
+        drawn = drawn.select("doc_id", "component", "found", F.floor(F.col("block") / span).alias("unit"))
+        merged = full(drawn).groupBy("component", "unit").applyInArrow(_link(percent), EDGES)
+        links = materialize(links.unionByName(merged), "near-links")
+        placed = labelled(links)
+    counts = placed.groupBy("component", "found").agg(F.sum("_n").alias("_sets"))
+    first = counts.groupBy("component").agg(F.max_by("found", F.struct("_sets", "found")).alias("first"))
+    placed = placed.join(first, "component").withColumn("asks", F.col("found") != F.col("first"))
+    tiles = placed.filter("asks").groupBy("component").agg(_blocks(F.sum("_n"), F.sum("_m")).alias("tiles"))
+    tiles = materialize(tiles, "near-tiles")
+    if tiles.isEmpty():
+        return links
+
+    def meet(tile: Column, other: Column, asks: bool) -> Column:
+        return F.struct(tile.cast("int").alias("tile"), other.cast("int").alias("other"), F.lit(asks).alias("asks"))
+
+    # Blocks of those that do not ask are numbered from 0 on, tiles as the other side from -1 downwards.
+    every = F.sequence(F.lit(0), F.col("tiles") - 1)
+    own = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("tiles"))
+    answers = F.transform(every, lambda t: meet(t, F.col("block"), False))
+    asked = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: meet(F.col("own"), b, True)),
+        F.transform(F.filter(every, lambda t: t >= F.col("own")), lambda t: meet(F.col("own"), -1 - t, True)),
+        F.transform(F.filter(every, lambda t: t < F.col("own")), lambda t: meet(t, -1 - F.col("own"), False)),
+    )
+    met = placed.join(tiles, "component").withColumn("own", own).withColumn("meets", F.when(F.col("asks"), asked).otherwise(answers))
+    last = full(met.select("doc_id", "component", "found", "meets")).withColumn("meets", F.explode("meets")).select("*", "meets.*").drop("meets")
+    return links.unionByName(last.groupBy("component", "tile", "other").applyInArrow(_ask(percent), EDGES))
 
 
 def near_duplicates(

@@ -76,6 +76,48 @@ def test_like_all_pairs(make_docs, monkeypatch, block):
     assert sorted((tuple(r) for r in found), key=str) == brute(rows)
 
 
+def test_no_task_holds_a_chained_group(make_docs, monkeypatch):
+    """Unlinked texts that share a passage are one candidate group; each pair is compared, two blocks in a task at most."""
+    block, seen = 25, []
+
+    def bounded(factory):
+        def make(percent):
+            run = factory(percent)
+            seen.append(factory.__name__)
+
+            def held(*args):
+                if args[-1].num_rows > 4 * block:  # blocks are dealt by hash, so they vary in size
+                    raise ValueError(f"a task holds {args[-1].num_rows} sets")
+                return run(*args)
+
+            # Arrow functions are told apart by their number of arguments.
+            return (lambda key, table: held(key, table)) if factory.__name__ == "_ask" else (lambda table: held(table))
+
+        return make
+
+    monkeypatch.setattr(near, "BLOCK_SETS", block)
+    monkeypatch.setattr(near, "_link", bounded(near._link))
+    monkeypatch.setattr(near, "_ask", bounded(near._ask))
+    draw = random.Random(7)
+    passage = " ".join(f"p{k}" for k in range(40))
+    own = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    rows = [(k, f"{passage} {own(20)}") for k in range(300)]
+    rows += [(k, rows[k - 300][1] + " more") for k in range(300, 330)]
+    found = near.near_duplicates(make_docs(rows)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute(rows)
+    assert "_ask" in seen
+
+
+def test_likely_is_the_estimate_at_a_threshold():
+    draw = np.random.default_rng(6)
+    pool = draw.integers(0, 2**63, 1_500, dtype=np.uint64)
+    sets = [np.unique(pool[k:k + 1_000]) for k in range(0, 500, 5)]
+    rows, sizes = near.sketch(sets), np.array([len(s) for s in sets], np.float64)
+    guess = near.estimate(rows[0], len(sets[0]), rows, sizes)
+    clear = abs(guess - 0.55) > 1e-4
+    assert ((guess >= 0.55) == near.likely(rows[0], len(sets[0]), rows, sizes, 0.55))[clear].all()
+
+
 def test_query_on_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     found = QUERIES["op4_near_duplicates"](spark, SF).collect()
