@@ -13,6 +13,10 @@ places, and an anchor whose gram occurs once in the corpus belongs to no repeat.
    in the next to the right, is a maximal repeat with all its occurrences.
 4. Each chunk gets what was found in its texts.
 
+A gram that occurs more than HOT times has too many contexts for a bucket. Its windows are judged one by one instead: each
+chunk sends the first place of every window, keyed by two independent hashes of all its bytes, and a bucket of windows
+finds those that start earlier elsewhere. Equal windows have equal anchors, so both sides of a repeat go the same way.
+
 The reach of an anchor is its context. A repeat longer than that is found as a chain of overlapping ones, so
 what they cover is exact.
 """
@@ -28,26 +32,35 @@ from pyspark.sql import DataFrame
 
 from sentilode.llm import chunks
 from sentilode.llm.chunks import Corpus, mixed
+from sentilode.llm.common import slices
 
 MIN_BYTES = 100
 # Bytes of a gram: a power of two below the shortest repeat.
 GRAM = 32
+# The windows of a gram that occurs more often are judged by themselves, in buckets of their own.
+HOT = 32_768
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 GROUPS = "repeat_id bigint, n_bytes int, doc_id bigint, start bigint"
 CONTEXTS = "bucket int, chunk int, entries binary, size int, contexts binary, known binary"
 
 # An anchor: its text in the order of all texts, its place in it, and the bytes of its context on both sides.
 ENTRY = np.dtype([("null", "?"), ("doc", "<i8"), ("row", "<i4"), ("at", "<i8"), ("left", "<u4"), ("right", "<u4")])
+# A gram and how often a batch has it; a repeated gram and whether it is hot; the first place of a window in a chunk.
+COUNT = np.dtype([("hash", "<u8"), ("n", "<u2")])
+ANSWER = np.dtype([("hash", "<u8"), ("hot", "?")])
+WINDOW = np.dtype([("key", "<u8"), ("other", "<u8"), ("null", "?"), ("doc", "<i8"), ("row", "<i4"), ("at", "<i8")])
 SPAN = np.dtype([("row", "<i4"), ("start", "<i8"), ("end", "<i8")])
 
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _BASES = [np.uint64(b) for b in (0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165)]
+_OTHER_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
+_OTHER_BASES = [np.uint64(b) for b in (0xA24BAED4963EE407, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAEF17502108EF2D9, 0xF1357AEA2E62A9C5)]
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
+def gram_hashes(data: np.ndarray, byte: np.ndarray = _BYTE, bases: list[np.uint64] = _BASES) -> np.ndarray:
     """The hash of the GRAM bytes at every place, by doubling."""
-    h, width = _BYTE[data], 1
-    for base in _BASES:
+    h, width = byte[data], 1
+    for base in bases:
         h = h[:-width] * base + h[width:] if len(h) > width else h[:0]
         width *= 2
     return mixed(h)
@@ -95,6 +108,14 @@ def anchors(corpus: Corpus, min_bytes: int) -> tuple[np.ndarray, np.ndarray, np.
     return start, last, owner, h[owner]
 
 
+def window_hashes(grams: np.ndarray, at: np.ndarray, min_bytes: int) -> np.ndarray:
+    """The hashes of the windows at some places, from those of grams that cover them."""
+    h = np.zeros(len(at), np.uint64)
+    for k in [*range(0, min_bytes - GRAM, GRAM), min_bytes - GRAM]:
+        h = mixed(h * np.uint64(0xD6E8FEB86659FD93) + grams[at + k])
+    return h
+
+
 def bucket_hash(key: np.ndarray) -> np.ndarray:
     return mixed(key ^ np.uint64(0x5DEECE66D1234567))
 
@@ -178,10 +199,96 @@ def _text_order(entries: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _find_later(min_bytes: int):
-    """For every bucket the spans that also start earlier, as rows of (chunk, spans)."""
+def _send_grams(min_bytes: int, n_buckets: int):
+    """Every gram of an anchor with its count, once per batch and chunk, to a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2 << 20):
+            chunk = batch.column("chunk").to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1):
+                key, n = np.unique(anchors(Corpus(batch.column("text").take(pa.array(own))), min_bytes)[3], return_counts=True)
+                if not len(key):
+                    continue
+                sent = np.zeros(len(key), COUNT)
+                sent["hash"], sent["n"] = key, np.minimum(n, 65_535)
+                bucket = (bucket_hash(key) % np.uint64(n_buckets)).astype(np.int32)
+                order_ = np.argsort(bucket, kind="stable")
+                sent, bucket = sent[order_], bucket[order_]
+                firsts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(bucket[firsts]), pa.array(np.full(len(firsts), chunk[own[0]], np.int32)),
+                        pa.array([p.tobytes() for p in np.split(sent, firsts[1:])], pa.binary()),
+                    ],
+                    ["bucket", "chunk", "payload"],
+                )
+
+    return run
+
+
+def _answer_grams(hot: int):
+    """For every chunk those of its grams that occur twice or more in all chunks, and which occur more than `hot` times."""
 
     def run(table: pa.Table) -> pa.Table:
+        sent = [np.frombuffer(p, COUNT) for p in table.column("payload").to_pylist()]
+        every = np.concatenate(sent)
+        _, code = np.unique(every["hash"], return_inverse=True)
+        total = np.bincount(code, weights=every["n"])[code]
+        answers = np.zeros(len(every), ANSWER)
+        answers["hash"], answers["hot"] = every["hash"], total > hot
+        bounds = np.cumsum([len(x) for x in sent])[:-1]
+        payload = [a[t > 1].tobytes() for a, t in zip(np.split(answers, bounds), np.split(total, bounds))]
+        return pa.table({"chunk": table.column("chunk"), "payload": pa.array(payload, pa.binary())})
+
+    return run
+
+
+def _to_chunks(table: pa.Table, spans: np.ndarray, whose: np.ndarray) -> pa.Table:
+    """Rows of (chunk, spans): those found in a bucket, and those that chunks knew."""
+    chunk = table.column("chunk").to_pylist()
+    payload = table.column("known").to_pylist()
+    order = np.argsort(whose, kind="stable")
+    spans, whose = spans[order], whose[order]
+    for a in np.split(np.arange(len(spans)), np.flatnonzero(np.diff(whose)) + 1):
+        if len(a):
+            chunk.append(int(whose[a[0]]))
+            payload.append(spans[a].tobytes())
+    keep = [k for k, p in enumerate(payload) if p]
+    return pa.table(
+        {
+            "chunk": pa.array([chunk[k] for k in keep], pa.int32()),
+            "payload": pa.array([payload[k] for k in keep], pa.binary()),
+        }
+    )
+
+
+def _later_windows(table: pa.Table, min_bytes: int) -> pa.Table:
+    """For a bucket of windows those that start earlier in another chunk."""
+    parts = []
+    for size, packed in zip(table.column("size").to_pylist(), table.column("contexts").to_pylist()):
+        data, n, offset = pa.decompress(packed, size, codec="zstd", asbytes=True), size // WINDOW.itemsize, 0
+        own = np.empty(n, WINDOW)
+        for name in WINDOW.names:
+            own[name] = np.frombuffer(data, WINDOW[name], n, offset)
+            offset += WINDOW[name].itemsize * n
+        parts.append(own)
+    owner = np.repeat(table.column("chunk").to_numpy(), [len(x) for x in parts])
+    every = np.concatenate(parts)
+    order = np.lexsort([every[c] for c in ("at", "row", "doc", "null", "other", "key")])
+    key, other = every["key"][order], every["other"][order]
+    later = order[1:][(key[1:] == key[:-1]) & (other[1:] == other[:-1])]
+    out = np.zeros(len(later), SPAN)
+    out["row"], out["start"], out["end"] = every["row"][later], every["at"][later], every["at"][later] + min_bytes
+    return _to_chunks(table, out, owner[later])
+
+
+def _find_later(min_bytes: int, n_buckets: int):
+    """For every bucket the spans that also start earlier, as rows of (chunk, spans); windows follow the `n_buckets` of grams."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= n_buckets:
+            return _later_windows(table, min_bytes)
         entries, owner, left, right = _unpack(table)
         rank = _text_order(entries)
         spans: list[tuple[int, int, int]] = []  # entry, bytes before, bytes from the anchor on
@@ -208,21 +315,7 @@ def _find_later(min_bytes: int):
             whose = owner[k]
         else:
             whose = np.zeros(0, np.int32)
-        chunk = table.column("chunk").to_pylist()
-        payload = [p for p in table.column("known").to_pylist()]
-        order = np.argsort(whose, kind="stable")
-        out, whose = out[order], whose[order]
-        for a in np.split(np.arange(len(out)), np.flatnonzero(np.diff(whose)) + 1):
-            if len(a):
-                chunk.append(int(whose[a[0]]))
-                payload.append(out[a].tobytes())
-        keep = [k for k, p in enumerate(payload) if p]
-        return pa.table(
-            {
-                "chunk": pa.array([chunk[k] for k in keep], pa.int32()),
-                "payload": pa.array([payload[k] for k in keep], pa.binary()),
-            }
-        )
+        return _to_chunks(table, out, whose)
 
     return run
 
@@ -254,8 +347,47 @@ def _find_groups(min_bytes: int):
     return run
 
 
-def _send_contexts(min_bytes: int, n_buckets: int, collapse: bool):
-    """The contexts of the repeated anchors of a chunk, packed per bucket.
+def _hot_windows(corpus: Corpus, start: np.ndarray, last: np.ndarray, min_bytes: int) -> tuple[np.ndarray, ...]:
+    """(key, other key, row, place in the text) of every window of some runs."""
+    n = last - start + 1
+    at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    row = np.searchsorted(corpus.bounds, at, side="right") - 1
+    key = window_hashes(gram_hashes(corpus.data), at, min_bytes)
+    other = window_hashes(gram_hashes(corpus.data, _OTHER_BYTE, _OTHER_BASES), at, min_bytes)
+    return key, other, row, at - corpus.bounds[row]
+
+
+def _pack_windows(found: list[tuple[np.ndarray, ...]], ids: pa.ChunkedArray, min_bytes: int, n_windows: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """(bucket of windows, size, packed windows, known spans): the first place of each window of a chunk; the others are known."""
+    key, other, row, at = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((at, row, other, key))
+    key, other, row, at = key[order], other[order], row[order], at[order]
+    again = np.concatenate([[False], (key[1:] == key[:-1]) & (other[1:] == other[:-1])])
+    place = np.lexsort((at[again], row[again]))
+    r, a = row[again][place], at[again][place]
+    # Known windows that follow each other are one span.
+    begins = np.concatenate([[True], (r[1:] != r[:-1]) | (a[1:] != a[:-1] + 1)]) if len(r) else np.zeros(0, bool)
+    known = np.zeros(int(begins.sum()), SPAN)
+    if len(r):
+        known["row"], known["start"] = r[begins], a[begins]
+        known["end"] = a[np.append(np.flatnonzero(begins)[1:], len(a)) - 1] + min_bytes
+    sent = np.zeros(int((~again).sum()), WINDOW)
+    sent["key"], sent["other"], sent["row"], sent["at"] = key[~again], other[~again], row[~again], at[~again]
+    own = ids.combine_chunks()
+    sent["null"] = own.is_null().to_numpy(zero_copy_only=False)[sent["row"]]
+    sent["doc"] = own.fill_null(0).to_numpy(zero_copy_only=False)[sent["row"]]
+    bucket = (sent["other"] % np.uint64(n_windows)).astype(np.int64)
+    order = np.lexsort((sent["at"], sent["row"], bucket))
+    sent, bucket = sent[order], bucket[order]
+    spans = known.tobytes()
+    for part in np.split(np.arange(len(sent)), np.flatnonzero(np.diff(bucket)) + 1):
+        data = b"".join(sent[name][part].tobytes() for name in WINDOW.names)
+        yield int(bucket[part[0]]), len(data), pa.compress(data, codec="zstd", asbytes=True), spans
+        spans = b""
+
+
+def _send_contexts(min_bytes: int, n_buckets: int, n_windows: int, collapse: bool):
+    """The contexts of the repeated anchors of a chunk, packed per bucket, and the windows of hot ones.
 
     With `collapse`, equal contexts of a chunk are sent once, the first; the others are repeats from end to end and
     travel as known spans.
@@ -263,18 +395,25 @@ def _send_contexts(min_bytes: int, n_buckets: int, collapse: bool):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows: dict[str, list] = {c: [] for c in ("bucket", "chunk", "entries", "size", "contexts", "known")}
-        repeated = chunks.gathered(right)
+        answers = np.concatenate([np.zeros(0, ANSWER), *(np.frombuffer(p, ANSWER) for p in right.column("payload").to_pylist())])
+        repeated, hot = np.unique(answers["hash"]), np.unique(answers["hash"][answers["hot"]])
         if left.num_rows and len(repeated):
             left = chunks.in_order(left)
             chunk = left.column("chunk")[0].as_py()
             packed: dict[int, tuple[list, list, list]] = {}
             seen: set[tuple[int, bytes]] = set()
+            windows: list[tuple[np.ndarray, ...]] = []
             for base, part in chunks.pieces(left):
                 corpus = Corpus(part.column("text"))
                 ids = part.column("doc_id").to_pylist()
                 start, last, owner, key = anchors(corpus, min_bytes)
                 keep = chunks.members(key, repeated)
                 start, last, owner, key = start[keep], last[keep], owner[keep], key[keep]
+                often = chunks.members(key, hot)
+                if often.any():
+                    k1, k2, r, at = _hot_windows(corpus, start[often], last[often], min_bytes)
+                    windows.append((k1, k2, r + base, at))
+                    start, last, owner, key = start[~often], last[~often], owner[~often], key[~often]
                 row = np.searchsorted(corpus.bounds, start, side="right") - 1
                 data = corpus.data.tobytes()
                 bucket = bucket_hash(key) % np.uint64(n_buckets)
@@ -297,6 +436,9 @@ def _send_contexts(min_bytes: int, n_buckets: int, collapse: bool):
                 rows["size"].append(len(data))
                 rows["contexts"].append(pa.compress(data, codec="zstd", asbytes=True) if data else b"")
                 rows["known"].append(np.array(known, SPAN).tobytes())
+            for b, size, data, known in _pack_windows(windows, left.column("doc_id"), min_bytes, n_windows) if windows else ():
+                for c, v in zip(rows, (n_buckets + b, chunk, b"", size, data, known)):
+                    rows[c].append(v)
         types = (pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(rows.items(), types)})
 
@@ -340,20 +482,17 @@ def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
     )
 
 
-def _contexts(docs: DataFrame, min_bytes: int, collapse: bool, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _contexts(docs: DataFrame, min_bytes: int, collapse: bool, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
+    """(chunked texts, contexts and hot windows, number of buckets of contexts). Without `collapse` no gram counts as hot."""
     if min_bytes <= GRAM:
         raise ValueError(f"repeats must be longer than {GRAM} bytes")
     rows, size = chunks.chunked(docs, id_col, text_col)
-
-    def hashes(column: pa.Array):
-        key = anchors(Corpus(column), min_bytes)[3]
-        return key, bucket_hash(key)
-
     per_anchor = 2 * 8 / (min_bytes - GRAM + 2)
-    sent = chunks.send_hashes(rows, chunks.buckets_for(int(size * per_anchor)), hashes)
-    answers = chunks.repeated_hashes(sent)
-    send = _send_contexts(min_bytes, chunks.buckets_for(size), collapse)
-    return rows, rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(send, CONTEXTS)
+    sent = rows.mapInArrow(_send_grams(min_bytes, chunks.buckets_for(int(size * per_anchor))), chunks.BLOBS)
+    answers = sent.groupBy("bucket").applyInArrow(_answer_grams(HOT if collapse else 1 << 62), "chunk int, payload binary")
+    n_buckets = chunks.buckets_for(size)
+    send = _send_contexts(min_bytes, n_buckets, chunks.buckets_for(4 * size), collapse)
+    return rows, rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(send, CONTEXTS), n_buckets
 
 
 def remove_repeats(
@@ -368,8 +507,8 @@ def remove_repeats(
     an id are ordered by text; equal rows follow each other, so all but one lose what they share. An empty
     table gives an empty one. Other columns are ignored. A task holds a chunk of texts or one bucket.
     """
-    rows, contexts = _contexts(docs, min_bytes, True, id_col, text_col)
-    found = contexts.groupBy("bucket").applyInArrow(_find_later(min_bytes), "chunk int, payload binary")
+    rows, contexts, n_buckets = _contexts(docs, min_bytes, True, id_col, text_col)
+    found = contexts.groupBy("bucket").applyInArrow(_find_later(min_bytes, n_buckets), "chunk int, payload binary")
     return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_cut, SCHEMA)
 
 
@@ -380,5 +519,5 @@ def maximal_repeats(
 
     `repeat_id` is a hash of the repeated bytes and `start` a place in bytes. Edge cases as in `remove_repeats`.
     """
-    _, contexts = _contexts(docs, min_bytes, False, id_col, text_col)
+    _, contexts, _ = _contexts(docs, min_bytes, False, id_col, text_col)
     return contexts.groupBy("bucket").applyInArrow(_find_groups(min_bytes), GROUPS)

@@ -58,6 +58,41 @@ def test_like_every_window(spark, make_docs):
     assert sorted((tuple(r) for r in found), key=str) == brute(rows)
 
 
+def test_no_bucket_holds_all_contexts_of_a_line(make_docs, monkeypatch):
+    """One line between bytes that differ in every text: more contexts of a gram than HOT are judged by windows."""
+    monkeypatch.setattr(repeats, "HOT", 20, raising=False)
+    find = repeats._find_later
+
+    def bounded(*args):
+        run = find(*args)
+
+        def held(key, table):
+            n = sum(len(e) for e in table.column("entries").to_pylist()) // repeats.ENTRY.itemsize
+            if n > 150:
+                raise ValueError(f"a bucket holds {n} contexts")
+            return run(key, table)
+
+        return held
+
+    monkeypatch.setattr(repeats, "_find_later", bounded)
+    draw = random.Random(9)
+    text = lambda k: "".join(draw.choice("abcdefgh") for _ in range(k))
+    line, passage = text(80), text(300)
+    rows = [(k, text(60) + line + text(60)) for k in range(400)]
+    rows += [(None if k == 40 else 400 + k % 50, text(50) + passage + text(50)) for k in range(60)]
+    rows += [(700, rows[3][1] + rows[410][1]), (701, passage * 3), (701, passage * 3), (2, line + "é" + line)]
+    found = repeats.remove_repeats(make_docs(rows)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("hot", [1, 3])
+def test_hot_grams_like_every_window(make_docs, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rows = rows_with_copies(3, 40) + [(None, "n" * 300), (501, "a" * 2_000), (502, "ab" * 900), (503, "x" * 100), (503, "x" * 101)]
+    found = repeats.remove_repeats(make_docs(rows)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute(rows)
+
+
 def test_query_on_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     found = QUERIES["op2_repeated_bytes"](spark, SF).collect()
