@@ -17,7 +17,7 @@ from sentilode.llm.common import slices, spread_texts
 
 # Edits allowed per character of an item.
 ERROR_RATE = 0.08
-# Shorter items, after normalisation, are not evidence of anything.
+# Shorter items, after normalisation, must occur exactly and on word bounds.
 MIN_CHARS = 20
 # Items are sent to the executors in blocks of so many bytes; each block takes one pass over the texts.
 BLOCK_BYTES = 32 << 20
@@ -69,19 +69,27 @@ def myers(places: dict[str, int], length: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def on_bounds(text: str, start: int, end: int) -> bool:
+    """Whether no word of the text goes on across either end of a place in it."""
+    before = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    after = end < len(text) and text[end - 1].isalnum() and text[end].isalnum()
+    return not (before or after)
+
+
 class Matcher:
     """The pieces of a block of items as one automaton."""
 
     def __init__(self, items: list[Item], rate: float, min_chars: int) -> None:
         import ahocorasick
 
+        self.min_chars = min_chars
         self.items: list[tuple[int, str, int]] = []
         where: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = normal(text)
-            if len(text) < min_chars:
+            if not text:
                 continue
-            errors = budget(len(text), rate)
+            errors = budget(len(text), rate) if len(text) >= min_chars else 0
             for place, piece in pieces(text, errors):
                 where.setdefault(piece, []).append((len(self.items), place))
             self.items.append((item_id, text, errors))
@@ -113,7 +121,7 @@ class Matcher:
         _, pattern, errors = self.items[item]
         length = len(pattern)
         for start in guesses:
-            if start >= 0 and text.startswith(pattern, start):
+            if start >= 0 and text.startswith(pattern, start) and (length >= self.min_chars or on_bounds(text, start, start + length)):
                 return 0, start, start + length
         if not errors:
             return None
@@ -175,8 +183,8 @@ def find_items(
     """(doc_id, item_id, distance, start, end): per text and item that occurs in it, the place with the fewest edits.
 
     Texts and items are compared in lower case with white space as one space; start and end are places in that form. An
-    item may occur with up to `rate` edits per character; its whole text must occur. Items shorter than `min_chars` and null
-    items match nothing, as do null and empty texts. A null id is kept; repeated rows match each; an empty table on
+    item may occur with up to `rate` edits per character; its whole text must occur. Items shorter than `min_chars` must
+    occur exactly and on word bounds. Null and empty items match nothing, as do null and empty texts. A null id is kept; repeated rows match each; an empty table on
     either side gives an empty result; other columns are ignored. Items are broadcast in blocks of bounded
     size; texts are read whole, once per block, and not shuffled.
     """

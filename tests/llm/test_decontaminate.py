@@ -41,6 +41,14 @@ def edited(draw, text, edits):
     return "".join(text)
 
 
+def test_short_items_occur_exactly_on_word_bounds(spark, make_docs):
+    bench = spark.createDataFrame([(1, "Blue whale?"), (2, "42"), (3, " "), (4, "c++")], "item_id bigint, text string")
+    rows = [(1, "the blue  WHALE? yes"), (2, "the blue whales"), (3, "1420 or 42nd"), (4, "it is 42."), (5, "bluewhale? c++"), (6, "")]
+    found = d.find_items(make_docs(rows), bench).collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1, 0, 4, 15), (4, 2, 0, 6, 8), (5, 4, 0, 11, 14)]
+    assert sorted(r.doc_id for r in d.drop_contaminated(make_docs(rows), bench).collect()) == [2, 3, 6]
+
+
 def test_like_dynamic_programming(spark, make_docs):
     draw = random.Random(8)
     prose = lambda n: " ".join("".join(draw.choice("aeioustrn") for _ in range(draw.randint(1, 8))) for _ in range(n))
