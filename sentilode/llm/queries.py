@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sentilode.llm import decontaminate, mixing, near, ordinal, pii, repeats, rules, sql, tokens, toxicity, windows
+from sentilode.llm import centroids, decontaminate, mixing, near, ordinal, pii, repeats, rules, sql, tokens, toxicity, windows
 from sentilode.llm.common import load
 from sentilode.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (for the driver's contract)
 
@@ -67,3 +67,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(load(spark, sf_dir, "documents"))
     return mixed.selectExpr("cast(doc.doc_id as bigint) as doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_centroids", sql.CENTROIDS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(load(spark, sf_dir, "embeddings"))

@@ -71,3 +71,39 @@ SELECT doc_id, size, source_size, target,
   (size * (certain + CASE WHEN p > 0 AND upto - size / 2 <= open_size THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM summed
 """
+
+
+def _assigned(number: int) -> str:
+    """Nearest centroid of the table c<number> per vector; equally near ones by number."""
+    return f"""
+far{number} AS (
+  SELECT r, c.c, sum((p.x - c.x) * (p.x - c.x))::BIGINT AS distance FROM parts p JOIN c{number} c ON p.d = c.d GROUP BY r, c.c),
+a{number} AS (
+  SELECT r, c, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY distance, c) AS place FROM far{number}) WHERE place = 1)"""
+
+
+def _moved(number: int) -> str:
+    """The table c<number + 1>: floor of the mean, in integers; centroids without vectors stay."""
+    return f"""
+m{number} AS (
+  SELECT a.c, p.d, sum(p.x)::BIGINT AS s, count(*)::BIGINT AS n FROM parts p JOIN a{number} a ON p.r = a.r GROUP BY a.c, p.d),
+c{number + 1} AS (
+  SELECT c.c, c.d, CASE WHEN m.n IS NULL THEN c.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+  FROM c{number} c LEFT JOIN m{number} m ON c.c = m.c AND c.d = m.d)"""
+
+
+CENTROIDS = f"""
+WITH whole AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+kept AS (SELECT r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM whole),
+parts AS (SELECT r, unnest(v) AS x, unnest(range(1, 65)) AS d FROM kept),
+first AS (SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), v) - 1 AS c FROM kept),
+c0 AS (SELECT f.c, p.d, p.x FROM first f JOIN parts p ON f.r = p.r WHERE f.c < 16),{_assigned(0)},{_moved(0)},{_assigned(1)},{_moved(1)},{_assigned(2)},{_moved(2)},{_assigned(3)},
+names AS (SELECT c, sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c3 GROUP BY c),
+sums AS (SELECT c, sum(distance)::BIGINT AS cluster_inertia FROM a3 GROUP BY c)
+SELECT k.vec_id, a.c::INTEGER AS cluster, a.distance, s.cluster_inertia, (SELECT sum(distance)::BIGINT FROM a3) AS inertia,
+  n.centroid_sha256
+FROM kept k JOIN a3 a ON k.r = a.r JOIN sums s ON a.c = s.c JOIN names n ON a.c = n.c
+"""
