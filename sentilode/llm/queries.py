@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sentilode.llm import centroids, decontaminate, mixing, near, ordinal, pii, repeats, rules, sql, tokens, toxicity, windows
+from sentilode.llm import (
+    centroids, decontaminate, mixing, near, ordinal, periodic, pii, repeats, rules, sql, tokens, toxicity, windows,
+)
 from sentilode.llm.common import load
 from sentilode.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (for the driver's contract)
 
@@ -72,3 +74,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_centroids", sql.CENTROIDS)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(load(spark, sf_dir, "embeddings"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(load(spark, sf_dir, "documents"), alter=True)
