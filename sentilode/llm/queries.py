@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sentilode.llm import (
-    centroids, decontaminate, mixing, near, ordinal, periodic, pii, repeats, rules, sql, tokens, toxicity, windows,
+    centroids, decontaminate, language, mixing, near, ordinal, periodic, pii, repeats, rules, sql, tokens, toxicity, windows,
 )
 from sentilode.llm.common import load
 from sentilode.llm.registry import ORACLES, QUERIES, query  # noqa: F401  (for the driver's contract)
@@ -79,3 +79,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(load(spark, sf_dir, "documents"), alter=True)
+
+
+@query("op13_language")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return language.detect(docs, language.learn(docs))
