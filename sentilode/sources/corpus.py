@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sentilode.functions.labels import recode_label
+from sentilode.sources import quoted
 
 # The columns of the labelled corpus file, which has no header.
 CORPUS_SCHEMA = "target int, ids bigint, date string, flag string, user string, text string"
@@ -15,14 +16,15 @@ def read_corpus(
 ) -> DataFrame:
     """The labelled CSV without header; no pass over the file to find the types.
 
-    `multi_line` reads line breaks inside quotes, at the price of one task per file.
+    `multi_line` reads line breaks inside quotes, in byte ranges by all cores (sources.quoted), at the price of a second pass.
     """
+    if multi_line:
+        return quoted.read_csv(spark, path, CORPUS_SCHEMA, encoding)
     return (
         spark.read.schema(CORPUS_SCHEMA)
         .option("header", False)
         .option("encoding", encoding)
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .csv(path)
     )
 
@@ -35,8 +37,9 @@ def read_messages_csv(
     spark: SparkSession, path: str, column: str = "text", multi_line: bool = False
 ) -> DataFrame:
     """A CSV with header, of which one column is kept; `multi_line` as in read_corpus."""
-    read = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    return read.csv(path).select(column)
+    if multi_line:
+        return quoted.read_csv(spark, path).select(column)
+    return spark.read.option("header", True).option("escape", '"').csv(path).select(column)
 
 
 def project_labelled(corpus: DataFrame, target: str = "target", text: str = "text") -> DataFrame:
