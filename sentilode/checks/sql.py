@@ -49,6 +49,13 @@ def tokenize(expr: str) -> str:
     return f"regexp_split_to_array({trimmed}, {quoted(P.TOKEN_SPACE)})"
 
 
+def treebank_tokens(expr: str) -> str:
+    text = f"' ' || regexp_replace({expr}, {quoted('[' + P.SPACE + ']+')}, ' ', 'g') || ' '"
+    for pattern, new in P.TREEBANK_RULES:
+        text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(new)}, 'g')"
+    return f"list_filter(regexp_split_to_array({text}, '[ ' || chr(10) || ']+'), lambda w: length(w) > 0)"
+
+
 def expanded(word: str) -> str:
     """One word by the contraction table, with the case of its first letter."""
     table = P.contraction_table()

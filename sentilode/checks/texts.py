@@ -44,6 +44,9 @@ _of_decorated("tokenize", lambda t: _joined(tx.tokenize(t)), _sql_joined(S.token
 _of_decorated(
     "word_tokenize", lambda t: _joined(tx.word_tokenize(t)), _sql_joined(S.word_tokenize("text"))
 )
+_of_decorated(
+    "treebank_tokens", lambda t: _joined(tx.treebank_tokens(t)), _sql_joined(S.treebank_tokens("text"))
+)
 _of_decorated(
     "lower_tokens",
     lambda t: _joined(tx.lower_tokens(tx.word_tokenize(t))),

@@ -86,3 +86,36 @@ def contraction_table() -> dict[str, str]:
     """The contractions, with and without the apostrophe (the clean chain removes it)."""
     bare = {form.replace("'", ""): text for form, text in CONTRACTIONS.items()}
     return CONTRACTIONS | {f: t for f, t in bare.items() if f not in ORDINARY_WORDS}
+
+# The published rules of Penn Treebank tokens, in their order, as (pattern, what stands for it). The text has had
+# its white space made single spaces and a space put at either end; a line break then ends a sentence. The last rules find
+# each word between spaces of its own.
+ABBREVIATIONS = "Mr|Mrs|Ms|Dr|Prof|St|Jr|Sr|vs|etc|Inc|Ltd|Co"
+TREEBANK_RULES = [
+    (r"""([.?!]["')\]}>]*) (["'(\[{<]*\p{Lu})""", "\\1\n\\2"),
+    (rf"""([^\p{{L}}](?:{ABBREVIATIONS})\.)\n""", r"\1 "),
+    (r"""\z""", "\n"),
+    (r"""([ \n(\[{<])["]""", r"\1 `` "),
+    (r"""\.\.\.""", " ... "),
+    (r"""([:,])([^0-9])""", r" \1 \2"),
+    (r"""([;@#$%&])""", r" \1 "),
+    (r"""([^.])(\.)([\])}>"']*) *\n""", "\\1 \\2\\3 \n"),
+    (r"""([?!])""", r" \1 "),
+    (r"""([\]\[(){}<>])""", r" \1 "),
+    (r"""--""", " -- "),
+    (r"""["]""", " '' "),
+    (r"""([ \n])""", r"\1\1"),
+    (r"""([^'])'([ \n])""", r"\1 ' \2"),
+    (r"""'([sSmMdD])([ \n])""", r" '\1\2"),
+    (r"""('ll|'LL|'re|'RE|'ve|'VE|n't|N'T)([ \n])""", r" \1\2"),
+    (r"""(?i) (can)(not) """, r" \1 \2 "),
+    (r"""(?i) (d)('ye) """, r" \1 \2 "),
+    (r"""(?i) (gim)(me) """, r" \1 \2 "),
+    (r"""(?i) (gon)(na) """, r" \1 \2 "),
+    (r"""(?i) (got)(ta) """, r" \1 \2 "),
+    (r"""(?i) (lem)(me) """, r" \1 \2 "),
+    (r"""(?i) (more)('n) """, r" \1 \2 "),
+    (r"""(?i) ('t)(is) """, r" \1 \2 "),
+    (r"""(?i) ('t)(was) """, r" \1 \2 "),
+    (r"""(?i) (wan)(na) """, r" \1 \2 "),
+]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
@@ -79,6 +80,17 @@ def word_tokenize(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(P.WORD_OR_MARK), F.lit(1))
 
 
+def treebank_tokens(text: Column) -> Column:
+    """Words as the Penn Treebank has them: `do n't`, `they 'll`, a sentence's last period and each mark apart, quotes as `` and ''.
+
+    A sentence ends at a mark before a capital letter, unless an abbreviation stands there, and at the text's end.
+    """
+    text = F.concat(F.lit(" "), F.regexp_replace(text, f"[{P.SPACE}]+", " "), F.lit(" "))
+    for pattern, new in P.TREEBANK_RULES:
+        text = F.regexp_replace(text, pattern, re.sub(r"\\(\d)", r"$\1", new))
+    return F.filter(F.split(text, "[ \n]+"), lambda w: F.length(w) > 0)
+
+
 def lower_tokens(tokens: Column) -> Column:
     return F.transform(tokens, lambda w: F.lower(w))
 

@@ -119,3 +119,32 @@ def test_labels(spark):
     assert [r[0] for r in said.select(sentiment_name(F.col("p"))).collect()] == [
         "positive", "negative", "negative"
     ]
+
+
+TREEBANK = [
+    ("Good muffins cost $3.88\nin New York.  Please buy me\ntwo of them.\nThanks.",
+     "Good muffins cost $ 3.88 in New York . Please buy me two of them . Thanks ."),
+    ("They'll save and invest more.", "They 'll save and invest more ."),
+    ("hi, my name can't hello,", "hi , my name ca n't hello ,"),
+    ("On a $50,000 mortgage of 30 years at 8 percent, the monthly payment would be $366.88.",
+     "On a $ 50,000 mortgage of 30 years at 8 percent , the monthly payment would be $ 366.88 ."),
+    ('"We beat some pretty good teams to get here," Slocum said.',
+     "`` We beat some pretty good teams to get here , '' Slocum said ."),
+    ('Well, we couldn\'t have this predictable, cliche-ridden, "Touched by an Angel" (a show creator John Masius worked on) '
+     "wanna-be if she didn't.",
+     "Well , we could n't have this predictable , cliche-ridden , `` Touched by an Angel '' ( a show creator John Masius "
+     "worked on ) wanna-be if she did n't ."),
+    ("I cannot cannot work under these conditions!", "I can not can not work under these conditions !"),
+    ("Mr. Smith's dogs' food -- wait... what?", "Mr. Smith 's dogs ' food -- wait ... what ?"),
+    ("I'm gonna; 'Tis 3:30. We've GOTTA go [now].", "I 'm gon na ; 'T is 3:30 . We 've GOT TA go [ now ] ."),
+    ("", ""),
+    ("  \n ", ""),
+]
+
+
+def test_treebank_tokens(spark):
+    rows = [(k, text) for k, (text, _) in enumerate(TREEBANK)] + [(len(TREEBANK), None)]
+    df = spark.createDataFrame(rows, "k int, text string").select("k", tx.treebank_tokens(F.col("text")).alias("w"))
+    found = {r["k"]: r["w"] for r in df.collect()}
+    assert found.pop(len(TREEBANK)) is None
+    assert [" ".join(found[k]) for k in range(len(TREEBANK))] == [want for _, want in TREEBANK]
