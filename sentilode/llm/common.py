@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -47,6 +49,13 @@ def joined(batches: Iterable[pa.RecordBatch], least_bytes: int = 4 << 20) -> Ite
         yield pa.concat_batches(held)
 
 
+def let_go() -> None:
+    """Give the memory that a task has freed back to the system: workers live on and serve other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_parts(docs: DataFrame, task_bytes: int = TASK_BYTES) -> int:
     """How many parts the texts of (doc_id, text) take at `task_bytes` each; one aggregate over them."""
     size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0

@@ -13,7 +13,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sentilode.llm.common import slices, spread_texts
+from sentilode.llm.common import let_go, slices, spread_texts
 
 # Edits allowed per character of an item.
 ERROR_RATE = 0.08
@@ -144,18 +144,6 @@ class Matcher:
         return found
 
 
-_matchers: dict[tuple, Matcher] = {}
-
-
-def _matcher(shared, rate: float, min_chars: int) -> Matcher:
-    """The matcher of a broadcast block; built once per worker."""
-    key = (shared._path if hasattr(shared, "_path") else id(shared), rate, min_chars)
-    if key not in _matchers:
-        _matchers.clear()
-        _matchers[key] = Matcher(shared.value, rate, min_chars)
-    return _matchers[key]
-
-
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, most_bytes: int = BLOCK_BYTES) -> Iterator[list[Item]]:
     """The items in blocks of bounded size; the driver holds one partition of them at a time."""
     rows = benchmark.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")).filter(F.col(text_col).isNotNull())
@@ -200,7 +188,7 @@ def find_items(
 
 def _find(shared, rate: float, min_chars: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(shared, rate, min_chars)
+        matcher = Matcher(shared.value, rate, min_chars)
         for batch in slices(batches):
             rows = [
                 (doc_id, *match)
@@ -234,8 +222,10 @@ def drop_contaminated(
 
 def _drop(shared, rate: float, min_chars: int, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(shared, rate, min_chars)
+        matcher = Matcher(shared.value, rate, min_chars)
         for batch in slices(batches):
             yield batch.filter(pa.array([not matcher.find(t) for t in batch.column(text_col).to_pylist()], pa.bool_()))
+        del matcher
+        let_go()
 
     return run

@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sentilode.llm.common import slices, spread_texts, texts
+from sentilode.llm.common import let_go, slices, spread_texts, texts
 from sentilode.llm.ngrams import Presence, hashed, sigmoid
+from sentilode.operators.scale import BROADCAST_BYTES, measured_bytes
 from sentilode.session import materialize
 
 LENGTHS = (4, 5, 6, 7)
@@ -24,6 +25,8 @@ MIN_TEXTS, MIN_RATIO = 2, 2.0
 FIT_ROWS = 8_000
 FIT_CHARS = 32 << 20
 PENALTY = 1e-3
+# Bytes of labelled texts that a task counts the features of.
+COUNT_BYTES = 128 << 20
 STEPS = 150
 # Each of so many parts of the labelled rows is scored by a model of the others, to turn margins into probabilities.
 FOLDS = 3
@@ -236,10 +239,18 @@ def train(
     usable = usable.filter(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
-    labelled = texts(known).join(usable, "doc_id").select("doc_id", "text", "label", fold.alias("fold"))
-    labelled = materialize(labelled, "toxicity-labelled")
-    total = labelled.count()
-    table = feature_counts(labelled.select("text", "label", "fold"), lengths, bits, smoothing).toArrow()
+    # Ids and bits of labels are small beside texts: while they are, no text is shuffled to meet its label, and none is written again.
+    usable = materialize(usable, "toxicity-labels")
+    small = measured_bytes(usable) <= BROADCAST_BYTES
+    labelled = texts(known).join(F.broadcast(usable) if small else usable, "doc_id")
+    labelled = labelled.select("doc_id", "text", "label", fold.alias("fold"))
+    if not small:
+        labelled = materialize(labelled, "toxicity-labelled")
+    size = labelled.agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes")).first()
+    total = size["n"]
+    # A task sends up to all features, whatever it reads: so few tasks count, without a shuffle of texts.
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-(size["bytes"] or 0) // COUNT_BYTES))
+    table = feature_counts(labelled.select("text", "label", "fold").coalesce(int(tasks)), lengths, bits, smoothing).toArrow()
     counts = {c: table.column(c).to_numpy() for c in ("feature", *COUNTS)}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000))
     drawn = labelled.filter(draw < int(min(1.0, 1.1 * fit_rows / max(total, 1)) * 1_000_000))
@@ -291,6 +302,8 @@ def drop_toxic(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_
         scorer = Scorer(shared.value)
         for batch in slices(batches):
             yield batch.filter(pa.array(scorer(batch.column(text_col).to_pylist()) < threshold))
+        del scorer
+        let_go()
 
     return docs.mapInArrow(run, docs.schema)
 
