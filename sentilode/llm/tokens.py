@@ -22,7 +22,7 @@ CACHE_WORDS = 500_000
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.stripe.size": str(16 << 20),
-    "orc.row.index.stride": "10000",
+    "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
 }
@@ -48,7 +48,8 @@ class Encoder:
     crosses a space that has no white space beside it: the space begins a new word. So a text is cut before each such
     space; of each distinct piece the letters that it begins with are a word of their own, and what follows is cut by the same
     pattern. Each distinct word is encoded once. Texts with a piece that is empty, has white space at an end, or has characters
-    beyond Latin, for which two libraries may know different letters, go to the tokenizer as they are.
+    beyond Latin, for which two libraries may know different letters, go to the tokenizer as they are, and so do texts with the
+    literal of an added token such as `<|endoftext|>`, which then gets that token's id as the library has it.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,10 +58,9 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.word_tokenizer = Tokenizer.from_file(path)
-        self.word_tokenizer.encode_special_tokens = True
         self.word_tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = regex.compile(WORD_PATTERN).findall
         self.known: dict[str, bytes] = {}
 
@@ -105,6 +105,8 @@ class Encoder:
         odd = pc.match_substring_regex(coded.dictionary, _ODD).to_numpy(zero_copy_only=False)
         odd_before = np.concatenate([[0], np.cumsum(odd[codes])])
         odd_text = odd_before[offsets[1:]] > odd_before[offsets[:-1]]
+        for literal in self.added:
+            odd_text |= pc.match_substring(column, literal).to_numpy(zero_copy_only=False)
         # Code 0 to n-1: a piece after a space; n to 2n-1: the same piece at the start of a text.
         n = len(odd)
         codes[offsets[:-1]] += n
@@ -164,20 +166,26 @@ def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
+def in_order(rows: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, text) in ranges of ids; the rows of an id are in order of a digest and can be in several ranges."""
+    order = ("doc_id", "digest")
+    placed = rows.withColumn("digest", F.xxhash64("text"))
+    return placed.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text").drop("digest")
+
+
 def write_tokens(
     docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
     """Encode every whole text and write (doc_id, ids) as ORC in ascending id order.
 
-    The texts are dealt out by ranges of ids, encoded, and written one file per range, in order of file
-    names. Integers are run-length coded, each stripe has row indexes and a Bloom filter on doc_id.
+    The texts are dealt out by ranges of ids and a digest of the text, which splits an id with many rows, encoded, and written one
+    file per range, in order of the numbers in file names. Integers are run-length coded, each stripe has row indexes and a Bloom filter on doc_id.
     A null text is empty and has the end id alone; null ids come first; repeated rows are written
-    each, in order of text; an empty table gives files without rows. Other columns are ignored.
+    each, in order of the digest; an empty table gives files without rows. Other columns are ignored.
     `tokenizer_path` must be readable by all executors. What lies at `out` is replaced.
     """
     rows = texts(docs, id_col, text_col)
-    ordered = rows.repartitionByRange(text_parts(rows, 16 << 20), "doc_id").sortWithinPartitions("doc_id", "text")
-    encoded = ordered.mapInArrow(_encode(tokenizer_path), "doc_id bigint, ids array<int>")
+    encoded = in_order(rows, text_parts(rows, 16 << 20)).mapInArrow(_encode(tokenizer_path), "doc_id bigint, ids array<int>")
     encoded.write.mode("overwrite").options(**ORC_OPTIONS).orc(out)
 
 
@@ -212,7 +220,8 @@ def index_documents(spark: SparkSession, path: str) -> DataFrame:
 
     `start` counts the ids of all documents before it. A file is read in stripes by many tasks; the rows
     of a split come in file order, so a document's place is file, split and place in the split. Totals are
-    first summed per split (one row each), and then within a split, so no window holds more than one.
+    first summed per split (one row each), and then within a split, so no window holds more than one. Files are in order of
+    their part number, since names of more than 100 000 parts do not sort by it.
     """
     rows = read_tokens(spark, path).select(
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"),
@@ -222,7 +231,8 @@ def index_documents(spark: SparkSession, path: str) -> DataFrame:
     )
     schema = "file string, block bigint, place bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
     measured = materialize(rows.mapInArrow(_measure, schema), "token-index")
-    earlier = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.regexp_extract("_f", r"^part-(\d+)", 1).cast("bigint")
+    earlier = Window.orderBy(number, "_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         measured.groupBy(F.col("file").alias("_f"), F.col("block").alias("_b"))
         .agg(F.sum("n_tokens").alias("_n"))

@@ -72,7 +72,6 @@ def test_mix_is_near_its_targets(kept):
 
 def test_files_hold_every_copy(kept):
     tokenizer = Tokenizer.from_file(public_vocabulary())
-    tokenizer.encode_special_tokens = True
     rows = sorted(kept[4].collect(), key=lambda r: (r.doc_id, r.text))
     found = sorted(kept[5].collect(), key=lambda r: (r.start))
     assert len(rows) == len(found)

@@ -19,9 +19,7 @@ from tokenizers import Tokenizer
 
 @cache
 def tokenizer():
-    found = Tokenizer.from_file(public_vocabulary())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_vocabulary())
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +51,57 @@ def test_round_trip(spark, make_docs, plain, tmp_path):
     assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,9)]" in one._jdf.queryExecution().toString()
 
 
+def test_literal_of_an_added_token(plain):
+    ids = tokens.encoder(public_vocabulary()).encode(pa.array(["a<|endoftext|>b", "a<|endoftext|", "plain"])).to_pylist()
+    assert ids == [plain(t) for t in ("a<|endoftext|>b", "a<|endoftext|", "plain")]
+    assert 50256 in ids[0] and 50256 not in ids[1]
+
+
+def test_forgotten_words_change_nothing(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 3)
+    encode = tokens.Encoder(public_vocabulary()).encode
+    for texts in (["one two, three"], ["four one five!", "two two"], ["three\none"]):
+        assert encode(pa.array(texts)).to_pylist() == [plain(t) for t in texts]
+
+
+def test_files_above_five_digits(spark, tmp_path):
+    """Parts are in order of their number; names of more digits sort before."""
+    for k, part in enumerate(["part-99999", "part-100000", "part-100001"]):
+        rows = spark.createDataFrame([(k, [k] * (k + 1))], "doc_id bigint, ids array<int>").coalesce(1)
+        rows.write.mode("append").orc(str(tmp_path / "x" / part))
+        (file,) = (tmp_path / "x" / part).glob("part-*.orc")
+        (tmp_path / "out").mkdir(exist_ok=True)
+        (tmp_path / "out" / f"{part}-x.orc").write_bytes(file.read_bytes())
+    found = tokens.index_documents(spark, str(tmp_path / "out")).orderBy("doc_id").collect()
+    assert [r["start"] for r in found] == [0, 1, 3]
+
+
+def test_lookup_reads_one_row_group(spark, tmp_path):
+    docs = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text").coalesce(1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+    out = str(tmp_path / "ids")
+    tokens.write_tokens(docs, public_vocabulary(), out)
+    one = tokens.read_tokens(spark, out, F.col("doc_id") == 4321)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert one.count() == 1
+    plan = one.groupBy().count()
+    plan.collect()
+    leaves = plan._jdf.queryExecution().executedPlan().collectLeaves()
+    read = sum(
+        leaf.metrics().apply("numOutputRows").value()
+        for leaf in [leaves.apply(k) for k in range(leaves.size())] if leaf.metrics().contains("numOutputRows")
+    )
+    assert read <= 1000
+
+
+def test_hot_id_is_split(spark):
+    """A third of the rows under one id, and another under none, do not go to one part."""
+    rows = spark.range(3000).selectExpr("case id % 3 when 0 then null when 1 then 7 else id end as doc_id", "concat('t', id) as text")
+    placed = tokens.in_order(rows, 8)
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 700
+
+
 def test_empty_table(spark, make_docs, tmp_path):
     assert tokens.round_trip(make_docs([(1, "x")]).limit(0), public_vocabulary(), str(tmp_path / "none")).collect() == []
 
