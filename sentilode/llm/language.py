@@ -319,7 +319,7 @@ def pack(table: DataFrame, slice_bytes: int = SLICE_BYTES, order: int = ORDER) -
     for part in range(n_slices):
         own = keyed if n_slices == 1 else keyed.filter(F.col("slice").isin(-1, part))
         found = own.select("lang", "kind", "key", "value").toArrow()
-        lang = pc.index_in(found.column("lang"), pa.array(langs)).to_numpy()
+        lang = pc.index_in(found.column("lang"), pa.array(langs, pa.string())).to_numpy()
         kind, key, value = (found.column(c).to_numpy() for c in ("kind", "key", "value"))
         key = key.view(np.uint64)
         rows = np.lexsort((key, kind, lang))

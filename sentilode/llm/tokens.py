@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from sentilode.llm.common import joined, slices, text_parts, texts
+from sentilode.llm.common import joined, let_go, slices, text_parts, texts
 from sentilode.session import materialize, scratch_path
 
 # Fixed value: the id that ends a document.
@@ -157,11 +157,14 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _encode(path: str, keep: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(joined(batches), 6 << 20):
             ids = encoder(path).encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+        if not keep:
+            _encoders.clear()
+            let_go()
 
     return run
 
@@ -174,7 +177,7 @@ def in_order(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def write_tokens(
-    docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text", keep: bool = True
 ) -> None:
     """Encode every whole text and write (doc_id, ids) as ORC in ascending id order.
 
@@ -182,10 +185,12 @@ def write_tokens(
     file per range, in order of the numbers in file names. Integers are run-length coded, each stripe has row indexes and a Bloom filter on doc_id.
     A null text is empty and has the end id alone; null ids come first; repeated rows are written
     each, in order of the digest; an empty table gives files without rows. Other columns are ignored.
+    `keep` leaves the vocabulary and the words met so far in the workers for their next tasks; without it each task loads them, and
+    gives the memory back for what the workers do next.
     `tokenizer_path` must be readable by all executors. What lies at `out` is replaced.
     """
     rows = texts(docs, id_col, text_col)
-    encoded = in_order(rows, text_parts(rows, 16 << 20)).mapInArrow(_encode(tokenizer_path), "doc_id bigint, ids array<int>")
+    encoded = in_order(rows, text_parts(rows, 16 << 20)).mapInArrow(_encode(tokenizer_path, keep), "doc_id bigint, ids array<int>")
     encoded.write.mode("overwrite").options(**ORC_OPTIONS).orc(out)
 
 
@@ -247,9 +252,9 @@ def index_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str, out: str | None = None) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer_path: str, out: str | None = None, keep: bool = True) -> DataFrame:
     """Write the documents' ids to `out` (by default a new folder in the shared one) and index what the files hold."""
     spark = docs.sparkSession
     out = out or scratch_path(spark, "token-files")
-    write_tokens(docs, tokenizer_path, out)
+    write_tokens(docs, tokenizer_path, out, keep=keep)
     return index_documents(spark, out)
