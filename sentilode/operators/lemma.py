@@ -95,26 +95,33 @@ def candidates(word: Column, irregular: Column, pos: str, longest: int) -> Colum
         one_pass,
         lambda state: state["found"],
     )
-    ending = "(" + "|".join(sorted({old for old, _ in rules})) + ")$"
     return (
         F.when(irregular.isNotNull(), listed)
-        .when(word.rlike(ending), ruled)
+        .when(word.rlike(rule_ending(pos)), ruled)
         .otherwise(itself)
     )
 
 
+def rule_ending(pos: str) -> str:
+    """A pattern for the words that a suffix rule applies to; of an adverb none does."""
+    endings = sorted({old for old, _ in SUFFIX_RULES[pos]})
+    return "(" + "|".join(endings) + ")$" if endings else "(?!)"
+
+
 def changed_lemmas(
     vocabulary: DataFrame,
     lexicon: DataFrame,
     exceptions: DataFrame,
     pos: str | None = None,
     term: str = "term",
+    longest: int | None = None,
 ) -> DataFrame:
     """(term, lemma) for the distinct terms whose lemma is another word.
 
     All terms have the part of speech `pos`, or each the one in its column
     `pos`. Of a term's candidates those in the lexicon count: the earliest
     pass, then the shortest, then the first wins. A term without any keeps its form.
+    `longest`, the length of the longest lemma, is looked up in the lexicon unless it is given.
     """
     words = vocabulary.select(term, F.lit(pos).alias("pos") if pos else F.col("pos"))
     if pos:
@@ -123,7 +130,8 @@ def changed_lemmas(
         F.sort_array(F.collect_set("lemma")).alias("_irregular")
     )
     known = lexicon.select("pos", F.col("lemma").alias("form")).distinct()
-    longest = known.agg(F.coalesce(F.max(F.length("form")), F.lit(0))).first()[0]
+    if longest is None:
+        longest = known.agg(F.coalesce(F.max(F.length("form")), F.lit(0))).first()[0]
     tried = candidates(F.col(term), F.col("_irregular"), pos or "n", longest)
     if pos is None:
         for other in ("v", "a", "r"):

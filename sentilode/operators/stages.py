@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import (
@@ -17,11 +17,13 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, functions as F
 
 from sentilode.functions import text as tx
-from sentilode.functions.arrays import let, word_set
-from sentilode.operators.lemma import IRREGULAR, candidates, changed_lemmas, with_lemmas
-from sentilode.session import materialize
+from sentilode.functions.arrays import let, word_map, word_set
+from sentilode.operators.lemma import IN_ROW_LEMMAS, IRREGULAR, candidates, changed_lemmas, rule_ending, with_lemmas
+from sentilode.session import materialize, scratch_path
 
 LEXICON_SCHEMA = "lemma string"
+LEARNED_SCHEMA = "term string, lemma string"
+
 
 class TextCleaner(
     Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
@@ -142,3 +144,171 @@ class Lemmatizer(Transformer, HasInputCol, HasOutputCol, MLWritable, MLReadable)
 
         output = self.getOutputCol()
         return dataset.withColumn(output, F.transform(output, lambda w: let(w, lemma)))
+
+
+class _LemmaParams(HasInputCol, HasOutputCol):
+    """What learning and applying lemmas share."""
+
+    irregular = Param(
+        Params._dummy(), "irregular", "`form lemma` of each irregular form", TypeConverters.toListString
+    )
+    pos = Param(Params._dummy(), "pos", "part of speech: n, v, a or r", TypeConverters.toString)
+    inRow = Param(Params._dummy(), "inRow", "most words that are looked up inside the row", TypeConverters.toInt)
+
+    def _irregular_pairs(self) -> list[tuple[str, str]]:
+        return [tuple(line.split(" ")) for line in self.getOrDefault(self.irregular)]
+
+    def _irregular_table(self, spark) -> DataFrame:
+        pairs = spark.createDataFrame(self._irregular_pairs(), "form string, lemma string")
+        return pairs.withColumn("pos", F.lit(self.getOrDefault(self.pos)))
+
+    def _needs_work(self, word):
+        """Whether a word can have another lemma: it ends as a rule asks, or is irregular."""
+        return word.rlike(rule_ending(self.getOrDefault(self.pos))) | word.isin([f for f, _ in self._irregular_pairs()])
+
+
+class LemmaLearner(Estimator, _LemmaParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Finds the lemmas of the distinct words of its input once, by joins with a lexicon table of any size.
+
+    Only words that a rule or an irregular form could change are kept. Null arrays and null or empty words teach nothing; an empty
+    input gives a model that knows rules and lexicon alone.
+    """
+
+    lexiconPath = Param(Params._dummy(), "lexiconPath", "Parquet table of known lemmas", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, lexiconPath=None, irregular=None, pos="n", inRow=IN_ROW_LEMMAS):
+        super().__init__()
+        self._setDefault(pos="n", inRow=IN_ROW_LEMMAS, irregular=[f"{f} {l}" for p, f, l in IRREGULAR if p == "n"])
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> LearnedLemmas:
+        spark, pos = dataset.sparkSession, self.getOrDefault(self.pos)
+        known = spark.read.schema(LEXICON_SCHEMA).parquet(self.getOrDefault(self.lexiconPath))
+        terms = dataset.select(F.explode(F.array_distinct(self.getInputCol())).alias("term")).filter(F.length("term") > 0)
+        terms = materialize(terms.filter(self._needs_work(F.col("term"))).distinct(), "learner-terms")
+        changed = changed_lemmas(terms, known.withColumn("pos", F.lit(pos)), self._irregular_table(spark), pos)
+        found = terms.join(changed, "term", "left").select("term", F.coalesce("lemma", "term").alias("lemma"))
+        paths = [scratch_path(spark, name) for name in ("learned-lemmas", "learned-lexicon")]
+        found.write.parquet(paths[0])
+        known.filter(F.length("lemma") > 0).distinct().write.parquet(paths[1])
+        learned = spark.read.schema(LEARNED_SCHEMA).parquet(paths[0])
+        lexicon = spark.read.schema(LEXICON_SCHEMA).parquet(paths[1])
+        size = lexicon.agg(F.count("*").alias("n"), F.coalesce(F.max(F.length("lemma")), F.lit(0)).alias("longest")).first()
+        # The literals of the lookup inside a row have words without a space.
+        every = lexicon.select("lemma").union(learned.select(F.concat("term", "lemma")))
+        spaced = not every.filter(F.col("lemma").contains(" ")).isEmpty()
+        model = LearnedLemmas(
+            inputCol=self.getInputCol(),
+            outputCol=self.getOutputCol(),
+            learnedPath=paths[0],
+            lexiconPath=paths[1],
+            irregular=self.getOrDefault(self.irregular),
+            pos=pos,
+            inRow=self.getOrDefault(self.inRow),
+            words=-1 if spaced else max(size["n"], learned.count()),
+            longest=size["longest"],
+        )
+        return model._resetUid(self.uid)
+
+
+class _LearnedWriter(DefaultParamsWriter):
+    """Saves both tables in the stage's own folder."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        for table, df in self.instance.tables(self.sparkSession).items():
+            df.write.parquet(f"{path}/{table}")
+
+
+class _LearnedReader(DefaultParamsReader):
+    """Loads a stage; its tables are those in its folder."""
+
+    def load(self, path: str) -> LearnedLemmas:
+        stage = super().load(path)
+        return stage._set(learnedPath=f"{path}/learned", lexiconPath=f"{path}/lexicon")
+
+
+class LearnedLemmas(Model, _LemmaParams, MLWritable, MLReadable):
+    """Lemma of each token, without the empty ones, from what training has learned; other words go through the rules.
+
+    What decides the way was measured at training, so no batch starts a job for it. While both tables hold at most `inRow`
+    words, they are read once per model and looked up inside the row: a batch or a stream is one plan. Larger ones are joined with
+    a batch that is first written, so its source is read once; a stream then needs streaming.score.write_scored. Both ways
+    give the same rows. A null array stays null.
+    """
+
+    learnedPath = Param(Params._dummy(), "learnedPath", "Parquet table (term, lemma)", TypeConverters.toString)
+    lexiconPath = Param(Params._dummy(), "lexiconPath", "Parquet table of known lemmas", TypeConverters.toString)
+    words = Param(
+        Params._dummy(), "words", "words in the larger table; -1 if one holds a space", TypeConverters.toInt
+    )
+    longest = Param(Params._dummy(), "longest", "length of the longest known lemma", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(
+        self, *, inputCol=None, outputCol=None, learnedPath=None, lexiconPath=None, irregular=None, pos="n",
+        inRow=IN_ROW_LEMMAS, words=-1, longest=0,
+    ):
+        super().__init__()
+        self._lookups = None
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def write(self) -> _LearnedWriter:
+        return _LearnedWriter(self)
+
+    @classmethod
+    def read(cls) -> _LearnedReader:
+        return _LearnedReader(cls)
+
+    def tables(self, spark) -> dict[str, DataFrame]:
+        return {
+            "learned": spark.read.schema(LEARNED_SCHEMA).parquet(self.getOrDefault(self.learnedPath)),
+            "lexicon": spark.read.schema(LEXICON_SCHEMA).parquet(self.getOrDefault(self.lexiconPath)),
+        }
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        filled = dataset.withColumn(
+            self.getOutputCol(), F.filter(F.col(self.getInputCol()), lambda w: F.length(w) > 0)
+        )
+        if 0 <= self.getOrDefault(self.words) <= self.getOrDefault(self.inRow):
+            return self._in_row(filled)
+        if dataset.isStreaming:
+            raise ValueError("tables of this size need batches: score the stream with streaming.score.write_scored")
+        return self._joined(filled)
+
+    def _in_row(self, filled: DataFrame) -> DataFrame:
+        if self._lookups is None:
+            read = {name: df.collect() for name, df in self.tables(filled.sparkSession).items()}
+            self._lookups = word_map({r["term"]: r["lemma"] for r in read["learned"]}), word_set(r["lemma"] for r in read["lexicon"])
+        learned, in_lexicon = self._lookups
+        irregular: dict[str, list[str]] = {}
+        for form, lemma in self._irregular_pairs():
+            irregular.setdefault(form, []).append(lemma)
+        special_of = word_map({form: ",".join(sorted(set(lemmas))) for form, lemmas in irregular.items()})
+        pos, longest = self.getOrDefault(self.pos), self.getOrDefault(self.longest)
+
+        def by_rules(word):
+            tried = F.filter(
+                candidates(word, F.split(special_of(word), ","), pos, longest), lambda c: in_lexicon(c["form"])
+            )
+            return F.array_min(tried)["form"]
+
+        output = self.getOutputCol()
+        lemma = lambda w: F.coalesce(learned(w), F.when(self._needs_work(w), by_rules(w)), w)
+        return filled.withColumn(output, F.transform(output, lambda w: let(w, lemma)))
+
+    def _joined(self, filled: DataFrame) -> DataFrame:
+        spark, output, pos = filled.sparkSession, self.getOutputCol(), self.getOrDefault(self.pos)
+        tables = self.tables(spark)
+        rows = materialize(filled, "batch-tokens")
+        terms = rows.select(F.explode(F.array_distinct(output)).alias("term"))
+        terms = terms.filter(self._needs_work(F.col("term"))).distinct().join(tables["learned"], "term", "left_anti")
+        new = changed_lemmas(
+            terms, tables["lexicon"].withColumn("pos", F.lit(pos)), self._irregular_table(spark), pos,
+            longest=self.getOrDefault(self.longest),
+        )
+        changed = tables["learned"].filter(F.col("term") != F.col("lemma")).unionByName(new.select("term", "lemma"))
+        changed = materialize(changed, "batch-lemmas")
+        renamed = rows.withColumnRenamed(output, "_tokens")
+        return with_lemmas(renamed, "_tokens", changed, output, self.getOrDefault(self.inRow)).drop("_tokens").select(*filled.columns)

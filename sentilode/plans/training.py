@@ -29,7 +29,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.operators.features import VOCABULARY_SIZE, bigram_terms, bigram_weights, with_counts
-from sentilode.operators.stages import Lemmatizer, TextCleaner
+from sentilode.operators.stages import LemmaLearner, Lemmatizer, TextCleaner
 from sentilode.session import materialize
 
 
@@ -51,18 +51,23 @@ def classifier(name: str, seed: int = 42) -> Estimator:
 def token_stages(
     lexicon: Sequence[str] | str, text: str = "text", expand_contractions: bool = False
 ) -> list:
-    """text -> tweet -> words -> filtered -> lemmatized; nothing here is learned.
+    """text -> tweet -> words -> filtered -> lemmatized.
 
-    `lexicon` is the path of a table of lemmas, or a short list of them.
+    `lexicon` is the path of a table of lemmas, with which those of the words met in training are learned, or a short list of them.
     """
-    known = {"lexiconPath": lexicon} if isinstance(lexicon, str) else {"lexicon": list(lexicon)}
+    columns = {"inputCol": "filtered", "outputCol": "lemmatized"}
+    lemmas = (
+        LemmaLearner(lexiconPath=lexicon, **columns)
+        if isinstance(lexicon, str)
+        else Lemmatizer(lexicon=list(lexicon), **columns)
+    )
     stop = StopWordsRemover(inputCol="words", outputCol="filtered", locale="en")
     stop.setStopWords(StopWordsRemover.loadDefaultStopWords("english"))
     return [
         TextCleaner(inputCol=text, outputCol="tweet", expandContractions=expand_contractions),
         Tokenizer(inputCol="tweet", outputCol="words"),
         stop,
-        Lemmatizer(inputCol="filtered", outputCol="lemmatized", **known),
+        lemmas,
     ]
 
 
@@ -107,8 +112,20 @@ def transform(stages: Sequence[Transformer], rows: DataFrame) -> DataFrame:
     return rows
 
 
+def learn_tokens(stages: Sequence, rows: DataFrame, *keep: str) -> tuple[list[Transformer], DataFrame]:
+    """(the stages, learned; keep and lemmatized of `rows`, written). Texts are cleaned and cut once, lemmas are found once."""
+    *plain, last = stages
+    if isinstance(last, LemmaLearner):
+        rows = materialize(transform(plain, rows).select(*keep, last.getInputCol()), "filtered-tokens")
+        last = last.fit(rows)
+        tokens = last.transform(rows)
+    else:
+        tokens = transform(stages, rows)
+    return [*plain, last], materialize(tokens.select(*keep, "lemmatized"), "training-tokens")
+
+
 def train(estimator: Pipeline, rows: DataFrame, corpus: DataFrame | None = None) -> PipelineModel:
-    """Fit on `rows`. The stages that learn nothing run once, not in every pass of the others.
+    """Fit on `rows`. The stages before the features run once, not in every pass of the others.
 
     With `corpus` the features are learned from those rows, such as all rows
     before the split, and only the classifier from `rows`.
@@ -117,8 +134,8 @@ def train(estimator: Pipeline, rows: DataFrame, corpus: DataFrame | None = None)
     learned_from = next((i for i, s in enumerate(stages) if isinstance(s, (CountVectorizer, NGram))), None)
     if learned_from is None:
         raise ValueError("the pipeline must count terms (CountVectorizer) or hash n-grams (NGram, HashingTF)")
-    fixed, features, model = stages[:learned_from], stages[learned_from:-1], stages[-1]
-    tokens = materialize(transform(fixed, rows).select("label", "lemmatized"), "training-tokens")
+    features, model = stages[learned_from:-1], stages[-1]
+    fixed, tokens = learn_tokens(stages[:learned_from], rows, "label")
     if corpus is None:
         return PipelineModel(
             stages=[*fixed, *Pipeline(stages=[*features, model]).fit(tokens).stages]
@@ -143,8 +160,7 @@ def cross_validate(
 
     Gives the model on tokens and the token stages to run before it.
     """
-    fixed = token_stages(lexicon, text, expand_contractions)
-    tokens = materialize(transform(fixed, rows).select("label", fold, "lemmatized"), "cv-tokens")
+    fixed, tokens = learn_tokens(token_stages(lexicon, text, expand_contractions), rows, "label", fold)
     bayes = classifier("naive_bayes")
     found = CrossValidator(
         estimator=Pipeline(stages=[*feature_stages(features), bayes]),

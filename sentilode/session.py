@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def build_session(app: str = "sentilode", **conf: str) -> SparkSession:
     """A session with adaptive execution on; `conf` keys use `__` for the dots."""
     builder = (
@@ -37,7 +43,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path for one table; everything of one application lies in one folder."""
     app = spark.sparkContext.applicationId
-    return f"{checkpoint_root(spark)}/sentilode-{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/sentilode-{app}/{name}-{uuid.uuid4().hex}"
+    if (passing := _passing.get()) is not None:
+        passing.append(path)
+    return path
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders, on any file system that Spark can reach."""
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written to the shared folder inside go when the block ends, as for one micro-batch of a stream."""
+    paths: list[str] = []
+    token = _passing.set(paths)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        remove(spark, *paths)
 
 
 def remove_scratch(spark: SparkSession) -> None:
@@ -45,10 +73,7 @@ def remove_scratch(spark: SparkSession) -> None:
 
     Call it when no result is read any more: results are read from these tables.
     """
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{checkpoint_root(spark)}/sentilode-{spark.sparkContext.applicationId}"
-    )
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, f"{checkpoint_root(spark)}/sentilode-{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

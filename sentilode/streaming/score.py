@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sentilode.functions.labels import sentiment_name
+from sentilode.session import passing_tables
 from sentilode.sources.messages import decode
 
 
@@ -30,10 +31,14 @@ def write_scored(
     available_now: bool = False,
     every: str = "5 seconds",
 ) -> StreamingQuery:
-    """Score a stream batch by batch into a table; the stages may join a batch with tables of any size."""
+    """Score a stream batch by batch into a table; the stages may join a batch with tables of any size.
+
+    What the stages write for a batch is removed when the batch is done.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        score(model, batch, text_column).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        with passing_tables(batch.sparkSession):
+            score(model, batch, text_column).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return _started(writer, available_now, every)

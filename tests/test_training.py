@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -13,8 +15,10 @@ from pyspark.sql import functions as F
 from sentilode.checks import tables
 from sentilode.functions.text import model_tokens
 from sentilode.operators import bayes, features, metrics, sampling
-from sentilode.operators.stages import Lemmatizer, TextCleaner
+from sentilode.operators.lemma import IRREGULAR
+from sentilode.operators.stages import LearnedLemmas, LemmaLearner, Lemmatizer, TextCleaner
 from sentilode.plans import training
+from sentilode.session import scratch_path
 from sentilode.sources import corpus, messages as msg, results as res
 from sentilode.streaming import score as st
 
@@ -207,8 +211,54 @@ def test_stream_with_a_lexicon_table(spark, rows, log, tmp_path):
     where = str(tmp_path)
     st.write_scored(loaded, msg.subscribe(spark, path=log), f"{where}/results", f"{where}/progress", available_now=True).awaitTermination()
     assert keyed(res.read_results(spark, f"{where}/results")) == keyed(st.score(trained, spark.read.parquet(log)))
+    stage = next(s for s in loaded.stages if isinstance(s, LearnedLemmas))
+    plain = f"{where}/plain"
+    scored = st.score(loaded, msg.subscribe(spark, path=log))  # small tables: a stream is one plan
+    st.write_results(scored, plain, f"{where}/plain-progress", available_now=True).awaitTermination()
+    assert keyed(res.read_results(spark, plain)) == keyed(res.read_results(spark, f"{where}/results"))
+    stage.set(stage.inRow, 0)  # larger tables are joined, batch by batch
     with pytest.raises(ValueError, match="write_scored"):
         st.score(loaded, msg.subscribe(spark, path=log))
+    root = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(root.iterdir())
+    st.write_scored(loaded, msg.subscribe(spark, path=log, files_per_trigger=2), f"{where}/joined", f"{where}/joined-progress", available_now=True).awaitTermination()
+    assert keyed(res.read_results(spark, f"{where}/joined")) == keyed(res.read_results(spark, f"{where}/results"))
+    assert set(root.iterdir()) == before  # a batch's tables are gone
+
+
+def test_a_batch_is_one_job(spark, rows, log, tmp_path):
+    """No job for lemmas per batch: the write alone, which reads the batch once."""
+    where = str(tmp_path)
+    spark.createDataFrame([(w,) for w in LEXICON], "lemma string").write.parquet(f"{where}/lexicon")
+    model = training.train(training.pipeline("naive_bayes", f"{where}/lexicon"), rows)
+    warm = st.score(model, spark.read.parquet(log))
+    warm.write.parquet(f"{where}/warm")
+    query = st.write_scored(model, msg.subscribe(spark, path=log, files_per_trigger=2), f"{where}/r", f"{where}/p", available_now=True)
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert sum(p["numInputRows"] for p in progress) == spark.read.parquet(log).count()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))
+    assert len(jobs) == len(progress) == 3
+
+
+@pytest.mark.parametrize("pos", ["n", "r"])
+def test_learned_lemmas_both_ways(spark, tmp_path, pos):
+    """Words met in training or not, inside the row or joined: as changed_lemmas on all distinct words has it."""
+    words = ["dogs", "dogsss", "day", "days", "men", "ran", "running", "ies", "", "this", "churches", "better", "wolves"]
+    lexicon = ["dog", "day", "man", "run", "church", "wolf", "well", "thi"]
+    table = str(tmp_path / "lexicon")
+    spark.createDataFrame([(w,) for w in [*lexicon, "dog", None, ""]], "lemma string").write.parquet(table)
+    frame = spark.createDataFrame([(1, words), (2, []), (3, None), (4, [None, "days", "days"]), (1, words)], "id int, a array<string>")
+    irregular = [f"{f} {l}" for p, f, l in IRREGULAR if p == pos]
+    for seen in (frame.filter("id = 4"), frame.filter("id = 9")):
+        model = LemmaLearner(inputCol="a", outputCol="b", lexiconPath=table, irregular=irregular, pos=pos).fit(seen)
+        res.save_model(model, str(tmp_path / "stage"))
+        for stage in [LearnedLemmas.load(str(tmp_path / "stage"))]:
+            want = Lemmatizer(inputCol="a", outputCol="b", lexicon=lexicon, irregular=irregular, pos=pos).transform(frame)
+            key = lambda df: sorted(map(repr, df.select("id", "a", "b").collect()))
+            assert key(stage.transform(frame)) == key(want)
+            stage.set(stage.inRow, 0)
+            assert key(stage.transform(frame)) == key(want)
 
 
 def test_forest_predicts_weights_it_has_not_seen(spark, rows):
