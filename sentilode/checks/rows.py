@@ -11,7 +11,10 @@ from sentilode.functions import text as tx
 from sentilode.functions.labels import recode_label, replace_label, sentiment_name
 from sentilode.operators import sampling
 from sentilode.operators.scale import ranked
+from sentilode.session import scratch_path
 from sentilode.sources import corpus, messages as msg, results as res
+from sentilode.streaming import table
+from sentilode.streaming.score import write_results
 
 TEXT_KEY = "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)"
 SENTIMENT = "CASE WHEN role = 'user' THEN 'positive' ELSE 'negative' END"
@@ -100,6 +103,35 @@ def result_latest(spark, sf_dir):
     return res.snapshot(arrived, latest=100).select("batch_id", "key", "value", "sentiment")
 
 
+@query(
+    "result_page",
+    f"SELECT conv_id AS batch_id, {TEXT_KEY} AS key, text AS value, {SENTIMENT} AS sentiment FROM conversations "
+    f"WHERE conv_id > 7 OR (conv_id = 7 AND {TEXT_KEY} > '7:0') ORDER BY conv_id, key LIMIT 100",
+)
+def result_page(spark, sf_dir):
+    """The page of 100 results that follows a given one in order of arrival."""
+    batch = F.get(F.split("key", ":"), F.lit(0)).cast("bigint")
+    arrived = _scored_messages(spark, sf_dir).withColumn("batch_id", batch)
+    return table.page(arrived, 100, (7, "7:0")).select("batch_id", "key", "value", "sentiment")
+
+
+@query(
+    "stream_table",
+    "SELECT CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS VARCHAR) AS key, text AS value, "
+    "CASE WHEN contains(text, 'th') THEN 'positive' ELSE 'negative' END AS sentiment FROM conversations",
+)
+def stream_table(spark, sf_dir):
+    """All conversations as a stream of small batches, whose folders are then merged: every result is there once."""
+    where = scratch_path(spark, "stream-table")
+    msg.publish(msg.messages(load(spark, sf_dir, "conversations"), ["conv_id", "turn"]), path=f"{where}/log")
+    decoded = msg.decode(msg.subscribe(spark, path=f"{where}/log", files_per_trigger=4))
+    scored = decoded.withColumn("sentiment", sentiment_name(F.contains("value", F.lit("th")).cast("double")))
+    write_results(scored, f"{where}/results", f"{where}/progress", available_now=True).awaitTermination()
+    table.compact(spark, f"{where}/results")
+    table.vacuum(spark, f"{where}/results")
+    return table.read_table(spark, f"{where}/results").select("key", "value", "sentiment")
+
+
 @query(
     "project_labelled",
     f"WITH {TARGETS} SELECT CASE WHEN target = 4 THEN 1 ELSE 0 END AS label, text AS tweet FROM targets",

@@ -26,12 +26,16 @@ def from_event(df: DataFrame, payload: str = "event") -> DataFrame:
     return df.select(F.from_json(inner, RESULT_SCHEMA).alias("r")).select("r.*")
 
 
+def arrival() -> list[Column]:
+    """The order in which results came: batch, the key as a number, the key."""
+    return [F.col("batch_id"), F.col("key").try_cast("bigint"), F.col("key")]
+
+
 def snapshot(results: DataFrame, latest: int | None = None) -> DataFrame:
     """All results in order of arrival, or the `latest` ones, last first."""
-    position = F.col("key").try_cast("bigint")
     if latest is None:
-        return results.orderBy("batch_id", position, "key")
-    return results.orderBy(F.desc("batch_id"), position.desc(), F.desc("key")).limit(latest)
+        return results.orderBy(*arrival())
+    return results.orderBy(*[c.desc() for c in arrival()]).limit(latest)
 
 
 def write_report(path: str, **reports: DataFrame) -> None:
