@@ -11,6 +11,7 @@ from sentilode.session import materialize
 
 # The columns of a message.
 MESSAGE_SCHEMA = "key binary, value binary"
+PLACED_SCHEMA = f"topic string, partition int, offset bigint, {MESSAGE_SCHEMA}"
 
 
 def sequence_key(df: DataFrame, order_by: Sequence[str], name: str = "key") -> DataFrame:
@@ -92,13 +93,14 @@ def subscribe(
     starting_offsets: str = "earliest",
     files_per_trigger: int | None = None,
     offsets_per_trigger: int | None = None,
+    schema: str = MESSAGE_SCHEMA,
 ) -> DataFrame:
     """The message log as a stream from its start; a checkpoint remembers how far a query got.
 
-    The limits per trigger keep the first batches of a long log small.
+    The limits per trigger keep the first batches of a long log small. `schema` is that of a folder's files.
     """
     if path is not None:
-        reader = spark.readStream.schema(MESSAGE_SCHEMA)
+        reader = spark.readStream.schema(schema)
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
         return reader.parquet(path)

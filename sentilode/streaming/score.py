@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sentilode.functions.labels import sentiment_name
 from sentilode.session import passing_tables
 from sentilode.sources.messages import decode
+from sentilode.streaming.ledger import record
 
 
 def score(model: PipelineModel, messages: DataFrame, text_column: str = "text") -> DataFrame:
@@ -50,16 +51,25 @@ def _started(writer, available_now: bool, every: str) -> StreamingQuery:
 
 
 def write_results(
-    results: DataFrame, path: str, checkpoint: str, available_now: bool = False, every: str = "5 seconds"
+    results: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    every: str = "5 seconds",
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Keep results in a table by micro-batch.
 
     A batch owns the folder of its id and overwrites it, so a batch that is
-    run again after a failure leaves no duplicates.
+    run again after a failure leaves no duplicates. With a `ledger` the results must
+    keep topic, partition and offset; what a batch has written is read back and noted there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        folder = f"{path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
+        if ledger is not None:
+            record(batch.sparkSession.read.schema(batch.schema).parquet(folder), ledger, batch_id)
 
     writer = results.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return _started(writer, available_now, every)
