@@ -15,6 +15,7 @@ from sentilode.functions import text as tx
 from sentilode.operators import features, metrics, sampling
 from sentilode.operators.features import with_counts
 from sentilode.operators.scale import lookup_join
+from sentilode.operators.stages import VocabularyLearner
 from sentilode.plans import training
 from sentilode.session import materialize, scratch_path
 from sentilode.sources import messages as msg, results as res
@@ -170,6 +171,27 @@ def hashing_tf(spark, sf_dir):
     )
 
 
+@query(
+    "vocabulary_stage",
+    f"WITH {S.pairs(S.model_tokens('text'), 'documents')}, stats AS (SELECT term, sum(tf) AS cf FROM pairs GROUP BY term), "
+    "vocabulary AS (SELECT term, row_number() OVER (ORDER BY cf DESC, term) - 1 AS place FROM stats "
+    "ORDER BY cf DESC, term LIMIT 5000) "
+    "SELECT doc_id, count(*) AS n_terms, md5(string_agg(CAST(place AS VARCHAR) || ':' || "
+    "CAST(CAST(tf AS BIGINT) AS VARCHAR), ',' ORDER BY place)) AS counts FROM pairs JOIN vocabulary USING (term) GROUP BY doc_id",
+)
+def vocabulary_stage(spark, sf_dir):
+    """The count vectors of all documents over the 5000 most frequent terms; a document's row has the digest of its vector."""
+    tokens = materialize(_tokens(spark, sf_dir).select("doc_id", "lemmatized"), "stage-tokens")
+    model = VocabularyLearner(inputCol="lemmatized", outputCol="tf", vocabSize=5000).fit(tokens)
+    v = F.unwrap_udt("tf")
+    cells = F.zip_with(v["indices"], v["values"], lambda i, n: F.concat_ws(":", i, n.cast("bigint")))
+    return (
+        model.transform(tokens)
+        .select("doc_id", F.size(v["indices"]).cast("bigint").alias("n_terms"), F.md5(F.concat_ws(",", cells)).alias("counts"))
+        .filter("n_terms > 0")
+    )
+
+
 @query(
     "vector_indexer",
     f"WITH {S.pairs(S.model_tokens('text'), 'documents')}, "

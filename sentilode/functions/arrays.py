@@ -17,12 +17,12 @@ def count_terms(tokens: Column) -> Column:
     """array<struct<term, tf>> of one row's tokens, in term order.
 
     A document is one row, so its counts need no shuffle: sort the tokens and
-    take the length of each run.
+    take the length of each run. A null token is no term; nulls are sorted before the first run.
     """
 
     def runs(words: Column) -> Column:
         starts = F.filter(
-            F.transform(words, lambda w, i: F.when((i == 0) | (w != F.get(words, i - 1)), i)),
+            F.transform(words, lambda w, i: F.when(w.isNotNull() & ((i == 0) | ~w.eqNullSafe(F.get(words, i - 1))), i)),
             lambda p: p.isNotNull(),
         )
         return let(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import (
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sentilode.functions import text as tx
 from sentilode.functions.arrays import let, word_map, word_set
+from sentilode.operators.features import VOCABULARY_SIZE, term_stats, vocabulary, with_counts
 from sentilode.operators.lemma import IN_ROW_LEMMAS, IRREGULAR, candidates, changed_lemmas, rule_ending, with_lemmas
 from sentilode.session import materialize, scratch_path
 
@@ -312,3 +314,30 @@ class LearnedLemmas(Model, _LemmaParams, MLWritable, MLReadable):
         changed = materialize(changed, "batch-lemmas")
         renamed = rows.withColumnRenamed(output, "_tokens")
         return with_lemmas(renamed, "_tokens", changed, output, self.getOrDefault(self.inRow)).drop("_tokens").select(*filled.columns)
+
+
+class VocabularyLearner(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns the most frequent terms and gives the count vectoriser's model with them.
+
+    Terms are counted by group-bys into a table, and counts per power of two bound the first `vocabSize`, so neither a task nor the
+    driver holds more than about these. Ties go to the first term, so runs agree. Null arrays and null tokens teach
+    nothing; without any term there is no model.
+    """
+
+    vocabSize = Param(Params._dummy(), "vocabSize", "most terms to learn", TypeConverters.toInt)
+    minDocs = Param(Params._dummy(), "minDocs", "fewest documents with a term", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, vocabSize=VOCABULARY_SIZE, minDocs=1):
+        super().__init__()
+        self._setDefault(vocabSize=VOCABULARY_SIZE, minDocs=1)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _fit(self, dataset: DataFrame) -> CountVectorizerModel:
+        counted = with_counts(dataset, F.col(self.getInputCol()))
+        stats = materialize(term_stats(counted), "vocabulary-stats")
+        first = vocabulary(stats, self.getOrDefault(self.vocabSize), self.getOrDefault(self.minDocs))
+        terms = [r["term"] for r in first.select("term").collect()]  # `vocabSize` rows, in order
+        if not terms:
+            raise ValueError("no terms to learn")
+        return CountVectorizerModel.from_vocabulary(terms, self.getInputCol(), self.getOutputCol())

@@ -14,7 +14,6 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
     CountVectorizerModel,
     ElementwiseProduct,
     HashingTF,
@@ -29,7 +28,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.operators.features import VOCABULARY_SIZE, bigram_terms, bigram_weights, with_counts
-from sentilode.operators.stages import LemmaLearner, Lemmatizer, TextCleaner
+from sentilode.operators.stages import LemmaLearner, Lemmatizer, TextCleaner, VocabularyLearner
 from sentilode.session import materialize
 
 
@@ -81,7 +80,7 @@ def feature_stages(kind: str = "count", vocabulary_size: int = VOCABULARY_SIZE)
             weights,
         ]
     return [
-        CountVectorizer(inputCol="lemmatized", outputCol="tf", vocabSize=vocabulary_size),
+        VocabularyLearner(inputCol="lemmatized", outputCol="tf", vocabSize=vocabulary_size),
         weights,
     ]
 
@@ -131,9 +130,9 @@ def train(estimator: Pipeline, rows: DataFrame, corpus: DataFrame | None = None)
     before the split, and only the classifier from `rows`.
     """
     stages = estimator.getStages()
-    learned_from = next((i for i, s in enumerate(stages) if isinstance(s, (CountVectorizer, NGram))), None)
+    learned_from = next((i for i, s in enumerate(stages) if isinstance(s, (VocabularyLearner, NGram))), None)
     if learned_from is None:
-        raise ValueError("the pipeline must count terms (CountVectorizer) or hash n-grams (NGram, HashingTF)")
+        raise ValueError("the pipeline must count terms (VocabularyLearner) or hash n-grams (NGram, HashingTF)")
     features, model = stages[learned_from:-1], stages[-1]
     fixed, tokens = learn_tokens(stages[:learned_from], rows, "label")
     if corpus is None:
