@@ -333,10 +333,13 @@ class VocabularyLearner(Estimator, HasInputCol, HasOutputCol, DefaultParamsReada
         self._setDefault(vocabSize=VOCABULARY_SIZE, minDocs=1)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
+    def getVocabSize(self) -> int:
+        return self.getOrDefault(self.vocabSize)
+
     def _fit(self, dataset: DataFrame) -> CountVectorizerModel:
         counted = with_counts(dataset, F.col(self.getInputCol()))
         stats = materialize(term_stats(counted), "vocabulary-stats")
-        first = vocabulary(stats, self.getOrDefault(self.vocabSize), self.getOrDefault(self.minDocs))
+        first = vocabulary(stats, self.getVocabSize(), self.getOrDefault(self.minDocs))
         terms = [r["term"] for r in first.select("term").collect()]  # `vocabSize` rows, in order
         if not terms:
             raise ValueError("no terms to learn")
