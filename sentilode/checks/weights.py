@@ -42,25 +42,16 @@ def _tfidf_sql(learn: str) -> str:
         f"WITH {PAIRS}, learn AS (SELECT doc_id FROM documents WHERE {learn}), "
         "w AS (SELECT term, ln(((SELECT count(*) FROM learn) + 1.0) / (count(*) + 1)) AS idf "
         "FROM pairs JOIN learn USING (doc_id) GROUP BY term) "
-        "SELECT doc_id, count(*) AS n_terms, md5(string_agg(term || ':' || CAST(CAST(tf AS BIGINT) AS VARCHAR) || ':' || "
-        "CAST(CAST(round(tf * idf * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY term)) AS weights "
-        "FROM pairs JOIN w USING (term) GROUP BY doc_id"
+        "SELECT doc_id, term, tf, round(tf * idf, 6) AS weight FROM pairs JOIN w USING (term)"
     )
 
 
 def _tfidf(spark, sf_dir, whole: bool):
-    """(doc_id, n_terms, weights): of every document the digest of all its terms, counts and weights, learned from four fifths of them or from all."""
+    """(doc_id, term, tf, weight) of all terms of all documents, learned from four fifths of them or from all."""
     counted = materialize(counted_documents(spark, sf_dir), "counted")
     learn = counted if whole else sampling.split(counted, 0.8, "doc_id")[0]
     weights = materialize(features.idf(features.term_stats(learn), learn.count()), "idf")
-    weight = F.round(F.col("weight") * 1_000_000).cast("bigint")
-    cells = features.tfidf(counted, weights, "doc_id").select(
-        "doc_id", F.struct("term", F.concat_ws(":", "term", F.col("tf").cast("bigint"), weight).alias("text")).alias("cell")
-    )
-    # A group is the terms of one document.
-    whole_rows = cells.groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.array_sort(F.collect_list("cell")).alias("cells"))
-    joined = F.array_join(F.transform("cells", lambda c: c["text"]), ",")
-    return whole_rows.select("doc_id", "n_terms", F.md5(joined.cast("binary")).alias("weights"))
+    return features.tfidf(counted, weights, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 @query("tfidf", _tfidf_sql(S.in_fraction("doc_id", 0.8)))
