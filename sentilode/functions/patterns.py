@@ -16,6 +16,12 @@ SYMBOLS = (
     r"\x{23}-\x{39}\x{2000}-\x{206F}\x{2300}-\x{23FF}\x{2600}-\x{26FF}\x{2700}-\x{27BF}]+"
 )
 
+# The same runs, told by what they are not: a letter is decided by two ranges instead of all. SQL takes the form above.
+SYMBOL_RUN = (
+    r"[^\x{00}-\x{22}\x{3A}-\x{1FFF}\x{2070}-\x{22FF}\x{2400}-\x{25FF}\x{27C0}-\x{1F1DF}\x{1F200}-\x{1F2FF}"
+    r"\x{1F650}-\x{1F67F}\x{1F700}-\x{10FFFF}]+"
+)
+
 # A link is `http` or `www` and what follows up to white space.
 LINK = rf"http[^{SPACE}]+|www[^{SPACE}]+"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -13,15 +14,21 @@ from sentilode.functions.arrays import let
 
 def strip_symbols(text: Column) -> Column:
     """Drop emoji, symbols, and the ASCII range # to 9 (apostrophe, comma, digits, ...)."""
-    return F.regexp_replace(text, P.SYMBOLS, "")
+    return F.regexp_replace(text, P.SYMBOL_RUN, "")
+
+
+def _without(text: Column, pattern: str, *needed: str) -> Column:
+    """`text` without the matches of a pattern; a text that holds none of the `needed` strings has no match and is left as it is."""
+    holds = lambda t: reduce(lambda a, b: a | b, [t.contains(n) for n in needed])
+    return let(text, lambda t: F.when(holds(t), F.regexp_replace(t, pattern, "")).otherwise(t))
 
 
 def strip_links(text: Column) -> Column:
-    return F.regexp_replace(text, P.LINK, "")
+    return _without(text, P.LINK, "http", "www")
 
 
 def strip_mentions(text: Column) -> Column:
-    return F.regexp_replace(text, P.MENTION, "")
+    return _without(text, P.MENTION, "@")
 
 
 def clean(text: Column) -> Column:

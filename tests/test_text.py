@@ -148,3 +148,21 @@ def test_treebank_tokens(spark):
     found = {r["k"]: r["w"] for r in df.collect()}
     assert found.pop(len(TREEBANK)) is None
     assert [" ".join(found[k]) for k in range(len(TREEBANK))] == [want for _, want in TREEBANK]
+
+
+def test_symbol_runs_are_the_class_that_sql_has(spark):
+    """Every code point goes or stays as the class says."""
+    points = spark.range(0x110000).filter("id < 55296 or id > 57343")
+    units = points.select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "utf-32").alias("c")).select("id", F.concat(F.lit("a"), "c", F.lit("b")).alias("t"))
+    assert units.filter(~tx.strip_symbols(F.col("t")).eqNullSafe(F.regexp_replace("t", P.SYMBOLS, ""))).count() == 0
+    assert units.filter(tx.strip_symbols(F.col("t")) == "ab").count() > 600
+
+
+def test_texts_without_links_or_mentions_skip_the_patterns(spark):
+    """Only texts that can match are searched, with the results of the plain patterns."""
+    texts = ["", "a b", "http", "see http://x.y and www.z", "xhttpx y", "@", "@me you", "a@b @ c", "httwww @é_1!", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.filter(~tx.strip_links(F.col("t")).eqNullSafe(F.regexp_replace("t", P.LINK, ""))).count() == 0
+    assert df.filter(~tx.strip_mentions(F.col("t")).eqNullSafe(F.regexp_replace("t", P.MENTION, ""))).count() == 0
+    plan = df.select(tx.strip_links(F.col("t")))._jdf.queryExecution().toString()
+    assert "http" in plan and "CASE WHEN" in plan
