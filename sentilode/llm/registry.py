@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable
 from functools import wraps
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sentilode.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-_shipped: set[str] = set()
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -26,16 +24,7 @@ def ship(spark: SparkSession) -> None:
     """
     if spark.conf.get(BATCH_ROWS) == "10000":
         spark.conf.set(BATCH_ROWS, "1000")
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="sentilode-package-")) / "sentilode.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
+    ship_package(spark)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -1,31 +1,37 @@
 """Part-of-speech tags in context: a hidden Markov model over tags whose output is a word's class, the set of tags it can have.
 
 Counts of tags in a row and of classes per tag come from a tagged corpus by group-bys. A sentence is tagged by a fold over its
-array of tokens (Viterbi), inside the row. What the fold needs is as small as the tag set; only the table of word
-classes grows with the vocabulary, and it is looked up as lemmas are, in the row or by a join.
+array of tokens (Viterbi), for a batch of rows at once. What the fold needs is as small as the tag set; only the table of word
+classes grows with the vocabulary: its most frequent words are looked up in the batch, the others by a join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sentilode.functions.arrays import let
 from sentilode.operators.lemma import IN_ROW_LEMMAS, changed_lemmas, with_lemmas
-from sentilode.session import materialize
+from sentilode.operators.scale import lookup_join, top_k
+from sentilode.session import materialize, ship_package
 
 # Logarithms as integers of this part, so that sums and ties do not depend on rounding.
 UNIT = 1_000_000
 # The class of a word that the corpus does not have is that of words with the same last letters.
 ENDING = 3
 START, ANY = "", "*"
-_CLASS = "\x01"
 
 
 @dataclass
 class Tagger:
-    """Tags and classes in order; transitions[j][k] from the j-th tag (the last row: from a sentence's begin); emissions[c][k]."""
+    """Tags and classes in order; transitions[j][k] from the j-th tag (the last row: from a sentence's begin); emissions[c][k].
+
+    `words` is (term, class, n), with how often the corpus has a word; `endings` is (term, class).
+    """
 
     tags: list[str]
     classes: list[str]
@@ -62,13 +68,14 @@ def learn(tagged: DataFrame, tokens: str = "tokens", tags: str = "tags") -> Tagg
     """The tagger of a corpus of sentences: two arrays of equal length per row. A sentence with a null or of no words teaches nothing."""
     usable = tagged.filter((F.size(tokens) > 0) & (F.size(tokens) == F.size(tags))).select(tokens, tags)
     usable = usable.filter(~F.exists(tokens, lambda w: w.isNull()) & ~F.exists(tags, lambda w: w.isNull()))
+    usable = materialize(usable, "tagged-corpus")
     follow = {(r["before"], r["tag"]): r["n"] for r in transition_counts(usable, tags).collect()}  # a square of tags
     counted = materialize(word_tags(usable, tokens, tags), "tagged-words")
-    words = materialize(counted.groupBy("term").agg(_class_of(F.col("tag")).alias("class")), "word-classes")
+    words = materialize(counted.groupBy("term").agg(_class_of(F.col("tag")).alias("class"), F.sum("n").alias("n")), "word-classes")
     ending = F.right("term", F.lit(ENDING))
     endings = counted.filter(F.length("term") >= ENDING).groupBy(ending.alias("term")).agg(_class_of(F.col("tag")).alias("class"))
     endings = materialize(endings, "ending-classes")
-    emitted = counted.join(words, "term").groupBy("class", "tag").agg(F.sum("n").alias("n"))
+    emitted = counted.join(words.select("term", "class"), "term").groupBy("class", "tag").agg(F.sum("n").alias("n"))
     emit = {(r["class"], r["tag"]): r["n"] for r in emitted.collect()}  # sets of tags
     more = {r["class"] for r in endings.select("class").distinct().collect()}
     names = sorted({tag for _, tag in follow})
@@ -91,81 +98,98 @@ def learn(tagged: DataFrame, tokens: str = "tokens", tags: str = "tags") -> Tagg
     return Tagger(names, classes, logarithms(follow, [*names, START], True), logarithms(emit, classes, False), words, endings)
 
 
-def _matrix(rows: list[list[int]]) -> Column:
-    return F.expr("array(" + ", ".join("array(" + ", ".join(f"{x}L" for x in row) + ")" for row in rows) + ")")
-
-
-def viterbi(classes: Column, tagger: Tagger) -> Column:
-    """The likeliest tags of a sentence, from the numbers of its words' classes; of equal ones the first by tag, from its end.
+def viterbi(numbers: np.ndarray, starts: np.ndarray, tagger: Tagger) -> np.ndarray:
+    """The places of the likeliest tags of sentences, from the numbers of their words' classes; of equal ones the first by tag, from its end.
 
-    Two folds: one forward with the best sum per tag and where each came from, one back along these.
+    A sentence has the numbers from its start to the next one; the last start is the end of all. All sentences go on by one word at a time,
+    the longest first: forward with the best sum per tag and where each came from, and back along these.
     """
-    n = len(tagger.tags)
-    follow, emit = _matrix(tagger.transitions[:-1]), _matrix(tagger.emissions)
-    begin = F.expr("array(" + ", ".join(f"{x}L" for x in tagger.transitions[-1]) + ")")
-    every = F.sequence(F.lit(0), F.lit(n - 1))
-    none = F.array().cast("array<array<int>>")
-
-    def first(of: Column) -> Column:
-        return F.array_position(of, F.array_max(of)).cast("int") - 1
-
-    def step(state: Column, c: Column) -> Column:
-        own = F.get(emit, c)
-
-        def through(k: Column) -> Column:
-            """(best sum that ends in the tag k, the tag before it)."""
-            sums = F.transform(state["sums"], lambda s, j: s + F.get(F.get(follow, j), k))
-            return let(sums, lambda s: F.struct((F.array_max(s) + F.get(own, k)).alias("sum"), first(s).alias("before")))
-
-        def started() -> Column:
-            return F.transform(every, lambda k: F.struct((F.get(begin, k) + F.get(own, k)).alias("sum"), F.lit(-1).alias("before")))
-
-        return let(
-            F.when(F.size(state["sums"]) == 0, started()).otherwise(F.transform(every, through)),
-            lambda best: F.struct(
-                F.transform(best, lambda b: b["sum"]).alias("sums"),
-                F.concat(state["befores"], F.array(F.transform(best, lambda b: b["before"]))).alias("befores"),
-            ),
-        )
-
-    forward = F.aggregate(
-        classes, F.struct(F.array().cast("array<bigint>").alias("sums"), none.alias("befores")), step
-    )
-
-    def backward(state: Column) -> Column:
-        return F.aggregate(
-            F.reverse(state["befores"]),
-            F.struct(first(state["sums"]).alias("at"), F.array().cast("array<int>").alias("path")),
-            lambda back, before: F.struct(
-                F.get(before, back["at"]).alias("at"), F.concat(back["path"], F.array(back["at"])).alias("path")
-            ),
-            lambda back: F.reverse(back["path"]),
-        )
-
-    names = F.array(*map(F.lit, tagger.tags))
-    found = F.transform(let(forward, backward), lambda k: F.get(names, k))
-    return F.when(F.size(classes) > 0, found).when(classes.isNotNull(), F.array().cast("array<string>"))
+    own = np.array(tagger.emissions, np.int64)[numbers]
+    into = np.array(tagger.transitions[:-1], np.int64).T  # into[k][j]
+    sizes = np.diff(starts)
+    order = np.argsort(-sizes, kind="stable")
+    first, sizes = starts[:-1][order], sizes[order]
+    longest = int(sizes[0]) if len(sizes) else 0
+    still = np.searchsorted(-sizes, -np.arange(longest), side="left")  # sentences with more than so many words
+    before = np.zeros((len(numbers), len(tagger.tags)), np.int32)
+    sums = np.array(tagger.transitions[-1], np.int64) + own[first[: still[0]]] if longest else None
+    last = np.zeros(len(first), np.int32)
+    for at in range(1, longest):
+        n = still[at]
+        last[n : len(sums)] = sums[n:].argmax(axis=1)
+        through = sums[:n, None, :] + into
+        came = through.argmax(axis=2)
+        places = first[:n] + at
+        before[places] = came
+        sums = np.take_along_axis(through, came[:, :, None], axis=2)[:, :, 0] + own[places]
+    if longest:
+        last[: len(sums)] = sums.argmax(axis=1)
+    found = np.zeros(len(numbers), np.int32)
+    for at in range(longest - 1, -1, -1):
+        places = first[: still[at]] + at
+        found[places] = last[: still[at]]
+        last[: still[at]] = before[places, last[: still[at]]]
+    return found
+
+
+def _tag_sentences(tagger: Tagger, words: list, endings: list) -> Callable:
+    """A function of batches: tokens and the (place, number) of the classes that a join has found, to tags."""
+    number = {c: k for k, c in enumerate(tagger.classes)}
+    any_tag, tags = number[ANY], tagger.tags
+    tables = [
+        ([r["term"] for r in table], np.array([number[r["class"]] for r in table] + [any_tag], np.int64)) for table in (words, endings)
+    ]
+    model = Tagger(tags, tagger.classes, tagger.transitions, tagger.emissions, None, None)
+
+    def classes(terms: pa.Array, table: tuple) -> tuple[np.ndarray, np.ndarray]:
+        known, numbers = table
+        at = pc.index_in(terms, value_set=pa.array(known, terms.type)).fill_null(len(known)).to_numpy(zero_copy_only=False)
+        return numbers[at], at < len(known)
+
+    def run(tokens: pa.Array, joined: pa.Array) -> pa.Array:
+        sizes = pc.list_value_length(tokens).fill_null(0).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        terms = tokens.flatten()
+        numbers, found = classes(terms, tables[0])
+        rare = joined.flatten()
+        if len(rare):
+            rows = pc.list_parent_indices(joined).to_numpy(zero_copy_only=False)
+            places = starts[rows] + rare.field("_at").to_numpy(zero_copy_only=False)
+            numbers[places], found[places] = rare.field("number").to_numpy(zero_copy_only=False), True
+        left = np.flatnonzero(~found)
+        numbers[left] = classes(pc.utf8_slice_codeunits(terms.take(pa.array(left)), start=-ENDING), tables[1])[0]
+        named = pa.array(tags, pa.string()).take(pa.array(viterbi(numbers, starts, model)))
+        offsets = pa.array(starts.astype(np.int32), mask=np.append(pc.is_null(tokens).to_numpy(zero_copy_only=False), False))
+        return pa.ListArray.from_arrays(offsets, named)
+
+    return run
 
 
 def with_tags(df: DataFrame, tokens: str, tagger: Tagger, name: str = "tags", in_row: int = IN_ROW_LEMMAS) -> DataFrame:
     """`df` with the tags of each row's tokens in their context; a row is a sentence.
 
     A word unknown to the tagger has the class of its ending, or any tag. A null or empty array stays as it is; a null token may have any tag.
+    The `in_row` most frequent words are looked up with the batch; only tokens beyond them are joined, and come back to their row by its number.
     """
     if not tagger.tags:
         return df.withColumn(name, F.transform(tokens, lambda w: F.lit(None).cast("string")))
-    named = F.concat(F.lit(_CLASS), F.col("class")).alias("lemma")
-    known = with_lemmas(df, tokens, tagger.words.select("term", named), "_class", in_row)
-    short = known.withColumn(
-        "_class", F.transform("_class", lambda c: F.when(c.startswith(_CLASS), c).otherwise(F.right(c, F.lit(ENDING))))
-    )
-    short = with_lemmas(short, "_class", tagger.endings.select("term", named), "_class", in_row)
-    numbers = F.map_from_arrays(
-        F.array(*[F.lit(_CLASS + c) for c in tagger.classes]), F.array(*map(F.lit, range(len(tagger.classes))))
+    ship_package(df.sparkSession)
+    frequent = materialize(top_k(tagger.words, in_row, F.col("n"), [F.desc("n"), F.col("term")]).select("term", "class"), "frequent-words")
+    words, endings = frequent.collect(), tagger.endings.collect()  # `in_row` words; endings of three letters
+    tag = F.arrow_udf(_tag_sentences(tagger, words, endings), "array<string>")
+    none = F.array().cast("array<struct<_at:int,number:int>>")
+    if tagger.words.count() <= len(words):
+        return df.withColumn(name, tag(tokens, none))
+    numbers = F.map_from_arrays(F.array(*map(F.lit, tagger.classes)), F.array(*map(F.lit, range(len(tagger.classes)))))
+    rare = tagger.words.join(F.broadcast(frequent.select("term")), "term", "left_anti")
+    rare = materialize(rare.select("term", F.element_at(numbers, F.col("class")).alias("number")), "rare-words")
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    facts = numbered.select("_row", F.posexplode(tokens).alias("_at", "term")).filter(F.col("term").isNotNull())
+    facts = facts.join(F.broadcast(frequent.select("term")), "term", "left_anti")
+    found = lookup_join(facts, rare, "term", "inner").groupBy("_row").agg(F.collect_list(F.struct("_at", "number")).alias("_rare"))
+    return (
+        numbered.join(found, "_row", "left").withColumn(name, tag(tokens, F.coalesce("_rare", none))).drop("_row", "_rare")
     )
-    any_tag = tagger.classes.index(ANY)
-    numbered = F.transform("_class", lambda c: F.coalesce(F.get(F.array(F.try_element_at(numbers, c)), F.lit(0)), F.lit(any_tag)))
-    return short.withColumn("_numbers", numbered).withColumn(name, viterbi(F.col("_numbers"), tagger)).drop("_class", "_numbers")
 
 
 def pos_of(tag: Column) -> Column:

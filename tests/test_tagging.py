@@ -90,3 +90,16 @@ def test_nothing_learned(spark):
 def test_long_sentence(spark, tagger):
     df = spark.createDataFrame([(["they", "run"] * 2000,)], "words array<string>")
     assert len(tagging.with_tags(df, "words", tagger).first()["tags"]) == 4000
+
+
+def test_long_sentence_and_rare_words(spark, tagger):
+    """A sentence of 30,000 words is tagged in time in proportion to it, alike with all, some and no words looked up in the batch."""
+    rng = random.Random(2)
+    vocabulary = [w for s, _ in SENTENCES for w in s.split()] + ["unknown", "sun", "q", "", None]
+    rows = [(0, [rng.choice(vocabulary) for _ in range(30_000)]), (1, []), (2, None), (3, ["run"]), (4, [None])]
+    df = spark.createDataFrame(rows, "k int, words array<string>").coalesce(1)
+    every, some, none = ({r["k"]: r["tags"] for r in tagging.with_tags(df, "words", tagger, in_row=n).collect()} for n in (100_000, 5, 0))
+    assert every == some == none
+    assert [len(every[k]) if every[k] is not None else None for k in range(5)] == [30_000, 0, None, 1, 1]
+    cut = tagging.with_tags(spark.createDataFrame([(rows[0][1][:5],)], "words array<string>"), "words", tagger).first()["tags"]
+    assert cut == brute([w if w is not None else "" for w in rows[0][1][:5]])
