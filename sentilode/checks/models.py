@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, VectorIndexer
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from sentilode.checks import sql as S
@@ -202,16 +202,10 @@ def vocabulary_stage(spark, sf_dir):
 )
 def vector_indexer(spark, sf_dir):
     """Features with few values become category numbers; the others keep their weight."""
-    tokens = _tokens(spark, sf_dir)
-    counter = CountVectorizer(inputCol="lemmatized", outputCol="tf").fit(tokens)
-    counted = counter.transform(tokens)
-    weighted = IDF(inputCol="tf", outputCol="features").fit(counted).transform(counted)
-    indexer = VectorIndexer(inputCol="features", outputCol="indexed", maxCategories=20).fit(weighted)
-    terms = spark.createDataFrame(list(enumerate(counter.vocabulary)), "index int, term string")
-    entries = _entries(indexer.transform(weighted), "indexed").filter(F.col("value") != 0)
-    return lookup_join(entries, terms, "index", "inner").select(
-        "doc_id", "term", F.round("value", 6).alias("value")
-    )
+    counted = materialize(with_counts(_tokens(spark, sf_dir), F.col("lemmatized"), "doc_id"), "indexer-counts")
+    stats = materialize(features.term_stats(counted), "indexer-stats")
+    found = features.category_indexed(counted, stats, counted.count(), 20, "doc_id")
+    return found.select("doc_id", "term", F.round("value", 6).alias("value"))
 
 
 @query(

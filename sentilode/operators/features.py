@@ -62,6 +62,20 @@ def tfidf(counted: DataFrame, weights: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def category_indexed(counted: DataFrame, stats: DataFrame, documents: int, most: int, *keep: str) -> DataFrame:
+    """(keep, term, value): the weights, but of terms with at most `most` values the number of the value, from 0 for a document without the term.
+
+    As VectorIndexer has it over the vectors of all weights, without a cell for each term in a task: the values of a term are
+    its distinct counts, found by group-bys. Terms of weight zero are left out, as a sparse vector does.
+    """
+    values = known_rows(counted).select("term", "tf").distinct().groupBy("term").agg(F.sort_array(F.collect_list("tf")).alias("values"))
+    numbered = values.select("term", F.when(F.size("values") < most, F.col("values")).alias("values"))
+    table = materialize(idf(stats, documents).filter(F.col("idf") != 0).join(numbered, "term"), "category-values")
+    rows = lookup_join(known_rows(counted, *keep), table, "term", "inner")
+    value = F.coalesce(F.array_position("values", F.col("tf")).cast("double"), F.col("tf") * F.col("idf"))
+    return rows.select(*keep, "term", value.alias("value"))
+
+
 def bigram_terms(text: Column) -> Column:
     """The words of a text and its pairs of neighbours."""
     return let(vector_words(text), lambda words: F.concat(words, ngrams(words, 2)))

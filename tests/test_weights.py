@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from oracle import connect, difference
@@ -33,3 +34,27 @@ def test_weights_of_the_whole_corpus(spark, sf_dir):
         for k, text in DOCS if text for term in set(text.split())
     }
     assert {(r["doc_id"], r["term"]): (r["tf"], r["weight"]) for r in found} == want
+
+
+def test_category_numbers_as_the_vector_indexer_has_them(spark):
+    """Beside Spark's own stage, with a term of one value, of many, in all documents, and rows without terms."""
+    from pyspark.ml.feature import IDF, CountVectorizer, VectorIndexer
+    from sentilode.operators import features
+
+    texts = [["all"] + ["few"] * (k % 3) + ["many"] * k + ["once"] * (k == 4) for k in range(8)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, words array<string>")
+    counter = CountVectorizer(inputCol="words", outputCol="tf").fit(df)
+    weighted = IDF(inputCol="tf", outputCol="w").fit(counter.transform(df)).transform(counter.transform(df))
+    indexed = VectorIndexer(inputCol="w", outputCol="out", maxCategories=4).fit(weighted).transform(weighted)
+    want = {
+        (r["k"], counter.vocabulary[i]): round(float(v), 9)
+        for r in indexed.collect() for i, v in enumerate(r["out"].toArray()) if v
+    }
+    counted = features.with_counts(df, F.col("words"), "k")
+    found = features.category_indexed(counted, features.term_stats(counted), 8, 4, "k").collect()
+    assert {(r["k"], r["term"]): round(r["value"], 9) for r in found} == want
+
+
+def test_vector_indexer_with_null_texts(spark, sf_dir):
+    found = contract.queries()["vector_indexer"](spark, sf_dir)
+    assert difference(found, contract.oracle_sql()["vector_indexer"], connect(sf_dir)) is None
