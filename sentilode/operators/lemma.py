@@ -154,10 +154,9 @@ def with_lemmas(
     """`df` with the lemmas of each row's tokens in their order, by the table `changed` (term, lemma) of distinct terms.
 
     Up to `in_row` changes go into the plan and are looked up inside the row,
-    without a shuffle. More are joined to the tokens, which then come together
-    again by a number that each row gets; such a group is the tokens of one
-    row, one array before. Both give the same rows: a null token and a null
-    array stay null.
+    without a shuffle. Beyond it the tokens are joined with the changes, and only those that change
+    come back to their row, by a number that each row gets; such a group is at most the tokens of one
+    row. Both give the same rows: a null token and a null array stay null.
     """
     few = changed.limit(in_row + 1).collect()
     if len(few) <= in_row and not any(" " in r["term"] + r["lemma"] for r in few):
@@ -165,18 +164,26 @@ def with_lemmas(
         return df.withColumn(name, F.transform(tokens, lambda w: F.coalesce(lemma_of(w), w)))
     numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     words = numbered.select("_row", F.posexplode(tokens).alias("_at", "term"))
-    words = lookup_join(words, changed, "term").select(
-        "_row", F.struct("_at", F.coalesce("lemma", "term").alias("w")).alias("_word")
-    )
+    words = lookup_join(words, changed, "term", "inner").select("_row", F.struct("_at", F.col("lemma").alias("w")).alias("_word"))
     in_order = words.groupBy("_row").agg(F.sort_array(F.collect_list("_word")).alias("_words"))
-    found = F.transform(F.coalesce("_words", F.array().cast("array<struct<_at:int,w:string>>")), lambda x: x["w"])
     return (
         numbered.join(in_order, "_row", "left")
-        .withColumn(name, F.when(F.col(tokens).isNotNull(), found))
+        .withColumn(name, F.when(F.col("_words").isNull(), F.col(tokens)).otherwise(replaced(F.col(tokens), F.col("_words"))))
         .drop("_row", "_words")
     )
 
 
+def replaced(tokens: Column, words: Column) -> Column:
+    """`tokens` with some of them replaced: array<struct<_at, w>> in order of their places, from 0. The stretches between stay as they are."""
+
+    def from_last(word: Column, k: Column) -> Column:
+        start = F.when(k > 0, F.get(words, k - 1)["_at"] + 1).otherwise(0)
+        return F.concat(F.slice(tokens, start + 1, word["_at"] - start), F.array(word["w"]))
+
+    rest = F.element_at(words, -1)["_at"] + 1
+    return F.concat(F.flatten(F.transform(words, from_last)), F.slice(tokens, rest + 1, F.size(tokens) - rest))
+
+
 def lemmatize_tokens(
     df: DataFrame,
     key: Sequence[str],

@@ -121,3 +121,16 @@ def test_a_long_token_takes_no_memory_per_pass(spark):
     lexicon = spark.createDataFrame([("n", "dog"), ("n", "ss")], "pos string, lemma string")
     changed = lemma.changed_lemmas(words, lexicon, lemma.irregular_table(spark), "n").collect()
     assert {(r["term"][:4], r["lemma"]) for r in changed} == {("ssss", "ss"), ("dogs", "dog")}
+
+
+def test_only_changed_tokens_come_back_to_their_row(spark):
+    """Changes at the begin, the end, side by side, none, and beside null tokens; words that stay are not in the shuffled groups."""
+    rows = [(["b", "a", "b"],), (["a", "a"],), (["b"],), ([],), (None,), ([None, "a", None],), (["b", None, "c", "a"],)]
+    df = spark.createDataFrame(rows, "words array<string>").coalesce(1)
+    changed = spark.createDataFrame([("a", "x y"), ("c", "z")], "term string, lemma string")
+    found = lemma.with_lemmas(df, "words", changed, in_row=0)
+    new = {"a": "x y", "c": "z"}
+    want = [[new.get(w, w) for w in r[0]] if r[0] is not None else None for r in rows]
+    assert sorted(map(str, ((r["words"], r["lemmatized"]) for r in found.collect()))) == sorted(map(str, ((r[0], w) for r, w in zip(rows, want))))
+    places = spark.createDataFrame([(["a", None, "c"], [(2, "z")])], "t array<string>, w array<struct<_at:int,w:string>>")
+    assert places.select(lemma.replaced(F.col("t"), F.col("w"))).first()[0] == ["a", None, "z"]
