@@ -12,6 +12,7 @@ from sentilode.checks.tables import (
 from sentilode.functions import patterns as P, text as tx
 from sentilode.functions.arrays import ngrams
 from sentilode.operators import lemma, sampling
+from sentilode.operators.features import term_stats, with_counts
 from sentilode.plans.denoise import denoise
 from sentilode.session import materialize
 
@@ -147,7 +148,8 @@ JOINED_LEMMAS = (
 def token_chain(spark, sf_dir):
     """Clean, tokens, stop words, lemmas: the whole text of every document."""
     docs = documents(spark, sf_dir).select("doc_id", tx.model_tokens(F.col("text")).alias("tokens"))
-    stats = document_terms(spark, sf_dir)
+    docs = materialize(docs, "chain-tokens")
+    stats = materialize(term_stats(with_counts(docs, F.col("tokens"))), "document-terms")
     changed = materialize(
         lemma.changed_lemmas(stats, corpus_lexicon(spark, stats), lemma.irregular_table(spark), "n"),
         "noun-lemmas",
