@@ -164,6 +164,20 @@ def test_cross_validation(spark, rows, tmp_path):
     assert NaiveBayesModel.load(str(tmp_path / "nb")).getOrDefault("smoothing") == chosen
 
 
+def test_folds_learn_their_weights_once(spark, monkeypatch):
+    """The grid shares them; a row without a valid fold, or a fold without rows, is an error."""
+    learned = []
+    own = training.IDF.fit
+    monkeypatch.setattr(training.IDF, "fit", lambda *a, **k: learned.append(1) or own(*a, **k))
+    lines = [(i % 2, f"{'good' if i % 2 else 'bad'} day {chr(97 + i % 7)}", i % 3) for i in range(30)]
+    rows = spark.createDataFrame(lines, "label int, text string, fold int")
+    found, _ = training.cross_validate(rows, [], "fold", folds=3, smoothings=(0.5, 1.0, 2.0))
+    assert list(found.avgMetrics) == [1.0, 1.0, 1.0] and len(learned) == 3 + 1
+    for wrong in (F.lit(3), F.lit(None).cast("int"), F.lit(0)):
+        with pytest.raises(Exception, match="(?i)fold"):
+            training.cross_validate(rows.withColumn("fold", wrong), [], "fold", folds=3)
+
+
 def test_stream_scores_like_the_batch(spark, model, log, tmp_path):
     batch = keyed(st.score(model, spark.read.parquet(log)))
     where = str(tmp_path)
