@@ -41,6 +41,12 @@ def term_stats(counted: DataFrame) -> DataFrame:
     )
 
 
+def term_totals(df: DataFrame, tokens: Column) -> DataFrame:
+    """(term, cf): how often each token occurs in all rows, without counts per row. A null or empty array has none, a null token is no term."""
+    terms = df.select(F.explode_outer(tokens).alias("term")).filter(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(F.count("*").alias("cf"))
+
+
 def vocabulary(stats: DataFrame, size: int = VOCABULARY_SIZE, min_df: int = 1) -> DataFrame:
     """The `size` most frequent terms; among equal counts the first in term order."""
     return top_k(stats.filter(F.col("df") >= min_df), size, F.col("cf"), [F.desc("cf"), F.col("term")])
@@ -55,9 +61,10 @@ def idf(stats: DataFrame, documents: int) -> DataFrame:
 
 
 def tfidf(counted: DataFrame, weights: DataFrame, *keep: str) -> DataFrame:
-    """(keep, term, tf, weight) for the terms that `weights` (term, idf) knows."""
+    """(keep, term, tf, weight) for the terms that `weights` (term, idf) knows; a column `df` there tells the frequent ones."""
     rows = known_rows(counted, *keep)
-    return lookup_join(rows, weights.select("term", "idf"), "term", "inner").select(
+    counts = weights.filter(F.col("df").isNotNull()).select("term", F.col("df").alias("n")) if "df" in weights.columns else None
+    return lookup_join(rows, weights.select("term", "idf"), "term", "inner", counts=counts).select(
         *keep, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight")
     )
 

@@ -54,6 +54,7 @@ def lookup_join(
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
     array_bytes: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join a fact table with a table that has one row per key.
 
@@ -61,13 +62,15 @@ def lookup_join(
     most frequent keys are joined by broadcasting their rows alone, and only
     the rest of the facts is shuffled, so no task gets a hot key. The table is
     read to measure it, and the facts more than once beyond the bound, so both
-    should be written tables if they are costly.
+    should be written tables if they are costly. `counts` (key, n) tells how many facts
+    a key has, one row per key, about right and written, if that is known; else they are counted.
     """
     if measured_bytes(table, array_bytes) <= max_bytes:
         return facts.join(F.broadcast(table), key, how)
-    counts = materialize(
-        facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), "key-counts"
-    )
+    if counts is None:
+        counts = materialize(
+            facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")), "key-counts"
+        )
     hot = materialize(top_k(counts, HOT_KEYS, F.col("n"), [F.desc("n"), F.col(key)]).select(key), "hot-keys")
     hot = F.broadcast(hot)
     hot_table = table.join(hot, key, "left_semi")

@@ -31,6 +31,21 @@ def test_lookup_join_beyond_the_bound(spark, skewed, monkeypatch, how, hot):
     assert rows(split) == rows(want.select(split.columns))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_join_takes_known_counts(spark, skewed, monkeypatch, how):
+    """Given counts, even wrong or missing ones, change no row, and the facts are not counted again."""
+    written = []
+    own = scale.materialize
+    monkeypatch.setattr(scale, "materialize", lambda df, name: written.append(name) or own(df, name))
+    monkeypatch.setattr(scale, "HOT_KEYS", 2)
+    table = spark.range(30).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+    want = skewed.join(table, "k", how)
+    for counts in (table.select("k", (F.col("k") + 1).alias("n")), table.limit(0).select("k", F.col("k").alias("n"))):
+        split = scale.lookup_join(skewed, table, "k", how, max_bytes=0, counts=counts)
+        assert rows(split) == rows(want.select(split.columns))
+    assert written and "key-counts" not in written
+
+
 def test_measured_bytes_grows(spark):
     small = spark.range(10).select(F.col("id").cast("string").alias("s"))
     assert 0 < scale.measured_bytes(small) < scale.measured_bytes(small.union(small))
