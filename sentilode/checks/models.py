@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sentilode.checks import sql as S
 from sentilode.checks.bayes import GRID, report_sql
 from sentilode.checks.registry import query
-from sentilode.checks.tables import LEXICON_COUNT, document_terms, documents, labelled, load
+from sentilode.checks.tables import LEXICON_COUNT, documents, labelled, load
 from sentilode.checks.weights import bigram_ctes
 from sentilode.functions import text as tx
 from sentilode.operators import features, metrics, sampling
@@ -24,7 +24,8 @@ from sentilode.streaming.score import write_scored
 def lexicon(spark, sf_dir) -> str:
     """The path of a table of all words that the documents use often."""
     path = scratch_path(spark, "lexicon")
-    common = document_terms(spark, sf_dir).filter(F.col("cf") >= LEXICON_COUNT)
+    totals = features.term_totals(documents(spark, sf_dir), tx.model_tokens(F.col("text")))
+    common = totals.filter(F.col("cf") >= LEXICON_COUNT)
     common.select(F.col("term").alias("lemma")).write.parquet(path)
     return path
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from oracle import connect, difference
+from sentilode.checks import models, tables
+from sentilode.operators import features
 
 DOCS = [(1, "apple pear apple"), (2, "pear plum"), (3, None), (4, ""), (5, "plum plum plum fig"), (6, "apple")]
 
@@ -36,6 +38,27 @@ def test_weights_of_the_whole_corpus(spark, sf_dir):
     assert {(r["doc_id"], r["term"]): (r["tf"], r["weight"]) for r in found} == want
 
 
+def test_totals_without_counts_per_row(spark):
+    """Those of the counted rows, with null and empty arrays and null tokens."""
+    lines = [(1, ["a", "b", "a", None]), (2, ["b", "a"]), (3, None), (4, []), (5, [None]), (5, ["c", ""])]
+    rows = spark.createDataFrame(lines, "doc_id bigint, toks array<string>")
+    found = features.term_totals(rows, F.col("toks"))
+    want = features.term_stats(features.with_counts(rows, F.col("toks"))).select("term", "cf")
+    assert sorted(found.collect()) == sorted(want.collect())
+    assert {r["term"]: r["cf"] for r in found.collect()} == {"a": 3, "b": 2, "c": 1, "": 1}
+
+
+def test_the_lexicon_counts_no_rows(spark, tmp_path, monkeypatch):
+    """Words of three occurrences in all documents, without a count per document."""
+    lines = [(1, "apple apple pear"), (2, "apple pear the"), (3, None), (4, ""), (5, "plum plum the the"), (5, "plum pear")]
+    spark.createDataFrame(lines, "doc_id bigint, text string").toPandas().to_parquet(tmp_path / "documents.parquet")
+    for name in ("count_terms", "with_counts"):
+        monkeypatch.setattr(features, name, None)
+    monkeypatch.setattr(tables, "with_counts", None)
+    found = spark.read.parquet(models.lexicon(spark, str(tmp_path))).collect()
+    assert sorted(r["lemma"] for r in found) == ["apple", "pear", "plum"]
+
+
 def test_category_numbers_as_the_vector_indexer_has_them(spark):
     """Beside Spark's own stage, with a term of one value, of many, in all documents, and rows without terms."""
     from pyspark.ml.feature import IDF, CountVectorizer, VectorIndexer
