@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel, VectorIndexer, VectorIndexerModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import (
@@ -316,6 +317,17 @@ class LearnedLemmas(Model, _LemmaParams, MLWritable, MLReadable):
         return with_lemmas(renamed, "_tokens", changed, output, self.getOrDefault(self.inRow)).drop("_tokens").select(*filled.columns)
 
 
+def count_model(spark, terms: list[str], input_column: str, output_column: str) -> CountVectorizerModel:
+    """`CountVectorizerModel.from_vocabulary`, but the terms go to the JVM as one text and not in a call for each."""
+    end = next((c for c in "\n\0" if not any(c in term for term in terms)), None)
+    if end is None:
+        return CountVectorizerModel.from_vocabulary(terms, input_column, output_column)
+    array = spark._jvm.java.util.regex.Pattern.compile(end).split(end.join(terms), -1)
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", array)
+    model.setInputCol(input_column).setOutputCol(output_column)
+    return model._set(vocabSize=len(terms))
+
+
 class VocabularyLearner(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Learns the most frequent terms and gives the count vectoriser's model with them.
 
@@ -343,4 +355,51 @@ class VocabularyLearner(Estimator, HasInputCol, HasOutputCol, DefaultParamsReada
         terms = [r["term"] for r in first.select("term").collect()]  # `vocabSize` rows, in order
         if not terms:
             raise ValueError("no terms to learn")
-        return CountVectorizerModel.from_vocabulary(terms, self.getInputCol(), self.getOutputCol())
+        return count_model(dataset.sparkSession, terms, self.getInputCol(), self.getOutputCol())
+
+
+class ValueIndexer(VectorIndexer):
+    """The vector indexer, learned from the entries that vectors store. Its model is Spark's, the same as Spark's own fit gives.
+
+    That fit looks at every feature of every vector and holds a set of values for each feature in each task. What it learns are the
+    distinct values of features that have at most `maxCategories`. So these are found by group-bys, and Spark's fit sees a few dense
+    vectors that have the same values: as many as the most values of a feature, `maxCategories` + 1 at most. NaN and minus zero,
+    which Spark's sets do not count as group-bys do, are left to Spark's fit of all rows.
+    """
+
+    def _fit(self, dataset: DataFrame) -> VectorIndexerModel:
+        most, name = self.getMaxCategories(), self.getInputCol()
+        v = F.unwrap_udt(name)
+        stored = F.arrays_zip(
+            F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1)).alias("index"), v["values"].alias("value")
+        )
+        # Each vector adds an entry at -1, its size, so vectors are counted in the same pass.
+        size = F.struct(F.lit(-1).alias("index"), F.coalesce(v["size"], F.size(v["values"])).cast("double").alias("value"))
+        entries = dataset.select(F.inline(F.concat(F.array(size), stored)))
+        minus_zero = (F.col("value") == 0) & (F.col("value").cast("string") == "-0.0")
+        found = entries.groupBy("index", "value", (F.isnan("value") | minus_zero).alias("odd")).agg(F.count("*").alias("n"))
+        found = materialize(found, "indexer-values")
+        sizes = found.filter("index = -1 OR odd").limit(2).collect()
+        if len(sizes) != 1 or sizes[0]["index"] != -1 or sizes[0]["value"] < 1:
+            return super()._fit(dataset)  # odd values; or no vectors or unequal ones, which are Spark's own errors
+        features, rows = int(sizes[0]["value"]), sizes[0]["n"]
+        counted = found.filter("index >= 0").groupBy("index").agg(
+            F.sum("n").alias("n"), F.count("*").alias("distinct")
+        )
+        few = counted.filter(F.col("distinct") <= most)
+        listed = found.join(few.select("index"), "index").groupBy("index").agg(F.collect_list("value").alias("values"))
+        values = F.coalesce("values", F.array().cast("array<double>"))
+        values = F.when(F.coalesce("n", F.lit(0)) < rows, F.array_union(values, F.array(F.lit(0.0)))).otherwise(values)
+        # Any values serve for a feature with too many of them.
+        many = F.transform(F.sequence(F.lit(0), F.lit(most)), lambda k: k.cast("double"))
+        every = (
+            dataset.sparkSession.range(features).select(F.col("id").cast("int").alias("index"))
+            .join(counted, "index", "left").join(listed, "index", "left")
+            .select("index", F.when(F.col("distinct") > most, many).otherwise(values).alias("values"))
+        )
+        wide = every.agg(F.sort_array(F.collect_list(F.struct("index", "values"))).alias("all"), F.max(F.size("values")).alias("most"))
+        line = F.transform("all", lambda f: F.element_at(f["values"], F.least(F.col("k"), F.size(f["values"]))))
+        covering = materialize(
+            wide.select("all", F.explode(F.sequence(F.lit(1), F.col("most"))).alias("k")).select(line.alias("line")), "indexer-cover"
+        )
+        return super()._fit(covering.select(array_to_vector("line").alias(name)))

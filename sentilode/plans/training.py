@@ -25,14 +25,13 @@ from pyspark.ml.feature import (
     Normalizer,
     StopWordsRemover,
     Tokenizer,
-    VectorIndexer,
 )
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.operators.features import VOCABULARY_SIZE, bigram_terms, bigram_weights, with_counts
-from sentilode.operators.stages import LemmaLearner, Lemmatizer, TextCleaner, VocabularyLearner
+from sentilode.operators.stages import LemmaLearner, Lemmatizer, TextCleaner, ValueIndexer, VocabularyLearner
 from sentilode.session import materialize
 
 
@@ -90,7 +89,7 @@ def feature_stages(kind: str = "count", vocabulary_size: int = VOCABULARY_SIZE)
 
 
 def model_stages(name: str) -> list:
-    indexer = [VectorIndexer(inputCol="features", outputCol="indexedFeatures", handleInvalid="keep")]
+    indexer = [ValueIndexer(inputCol="features", outputCol="indexedFeatures", handleInvalid="keep")]
     return (indexer if name == "random_forest" else []) + [classifier(name)]
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import functions as F
 
 from sentilode.functions.text import model_tokens
-from sentilode.operators.stages import VocabularyLearner
+from sentilode.operators.stages import VocabularyLearner, count_model
 from sentilode.session import materialize
 
 
@@ -48,3 +48,28 @@ def test_saved_with_the_pipeline(tokens, tmp_path):
     again = PipelineModel.load(str(tmp_path / "model"))
     vectors = lambda m: {r["doc_id"]: r["tf"] for r in m.transform(tokens).collect()}
     assert vectors(again) == vectors(model) and again.stages[0].vocabulary == model.stages[0].vocabulary
+
+
+WORDS = ["day", "a b", "\u00e9\U0001f600", "\r", "\u2028", ".", "last", ""]
+
+
+@pytest.mark.parametrize("terms", [["one"], [""], WORDS, [*WORDS, "x\ny"], [*WORDS, "x\0y"], ["x\0y", "x\ny", "z"]])
+def test_model_of_any_terms(spark, terms):
+    ours, theirs = (
+        make(terms, "words", "tf") for make in (lambda *a: count_model(spark, *a), CountVectorizerModel.from_vocabulary)
+    )
+    assert ours.vocabulary == theirs.vocabulary == terms
+    told = [{p.name: m.getOrDefault(p) for p in m.params if m.isDefined(p)} for m in (ours, theirs)]
+    assert told[0] == told[1] and told[0]["vocabSize"] == len(terms)
+    rows = spark.createDataFrame([([*terms, "day"],)], "words array<string>")
+    assert ours.transform(rows).first()["tf"] == theirs.transform(rows).first()["tf"]
+
+
+def test_terms_are_sent_in_few_calls(spark, tokens, monkeypatch):
+    """Setting the terms one by one in the JVM took two minutes for 262,144 of them."""
+    def one_by_one(*a):
+        raise AssertionError("a call for each term")
+
+    monkeypatch.setattr(CountVectorizerModel, "_new_java_array", staticmethod(one_by_one))
+    model = VocabularyLearner(inputCol="words", outputCol="tf", vocabSize=50).fit(tokens)
+    assert len(model.vocabulary) == 50
