@@ -13,7 +13,6 @@ from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     NaiveBayes,
-    RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
@@ -31,6 +30,7 @@ from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sentilode.operators.features import VOCABULARY_SIZE, bigram_terms, bigram_weights, with_counts
+from sentilode.operators.grower import EntryForest
 from sentilode.operators.stages import LemmaLearner, Lemmatizer, TextCleaner, ValueIndexer, VocabularyLearner
 from sentilode.session import materialize
 
@@ -46,7 +46,7 @@ def classifier(name: str, seed: int = 42) -> Estimator:
     if name == "logistic_elasticnet":
         return LogisticRegression(maxIter=100, regParam=0.3, elasticNetParam=0.8)
     if name == "random_forest":
-        return RandomForestClassifier(featuresCol="indexedFeatures", numTrees=10, seed=seed)
+        return EntryForest(featuresCol="indexedFeatures", numTrees=10, seed=seed)
     raise ValueError(name)
 
 
