@@ -8,7 +8,9 @@ from sentilode.checks import sql as S
 from sentilode.checks.registry import query
 from sentilode.checks.tables import corpus_lexicon, document_terms, documents, load
 from sentilode.checks.texts import LEXICON, TERMS
+from sentilode.functions.arrays import let
 from sentilode.operators import lemma, tagging
+from sentilode.operators.scale import BROADCAST_BYTES, measured_bytes
 from sentilode.session import materialize
 
 # The tagged corpus of the checks: tags by the ending of a word, but nouns after one of these words.
@@ -26,19 +28,27 @@ def _tag(word: Column, before: Column) -> Column:
     )
 
 
-def _sentences(spark, sf_dir) -> DataFrame:
-    """(doc_id, at, tokens) of all documents."""
-    cut = documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", SENTENCE_END)).alias("at", "sentence"))
-    words = F.regexp_extract_all(F.lower("sentence"), F.lit(LETTERS), F.lit(0))
-    return cut.select("doc_id", "at", words.alias("tokens")).filter(F.size("tokens") > 0)
+def _words(sentence: Column) -> Column:
+    return F.regexp_extract_all(F.lower(sentence), F.lit(LETTERS), F.lit(0))
+
+
+def _cut(docs: DataFrame) -> DataFrame:
+    """(doc_id, at, tokens)"""
+    cut = docs.select("doc_id", F.posexplode(F.split("text", SENTENCE_END)).alias("at", "sentence"))
+    return cut.select("doc_id", "at", _words(F.col("sentence")).alias("tokens")).filter(F.size("tokens") > 0)
+
+
+def _ruled(sentences: DataFrame) -> DataFrame:
+    """(tokens, tags) by the rule of the checks."""
+    rule = let(F.col("tokens"), lambda t: F.transform(t, lambda w, i: _tag(w, F.coalesce(F.when(i > 0, F.get(t, i - 1)), F.lit("")))))
+    return sentences.select("tokens", rule.alias("tags"))
 
 
 def _tagged(spark, sf_dir) -> DataFrame:
     """(doc_id, at, tokens, tags) of all documents."""
-    sentences = materialize(_sentences(spark, sf_dir), "sentences")
-    rule = F.transform("tokens", lambda w, i: _tag(w, F.coalesce(F.when(i > 0, F.get("tokens", i - 1)), F.lit(""))))
+    sentences = materialize(_cut(documents(spark, sf_dir)), "sentences")
     labelled = load(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    corpus = sentences.join(labelled, "doc_id", "left_semi").select("tokens", rule.alias("tags"))
+    corpus = _ruled(sentences.join(labelled, "doc_id", "left_semi"))
     return tagging.with_tags(sentences, "tokens", tagging.learn(corpus))
 
 
@@ -108,11 +118,19 @@ tagged AS (
   FROM tok t JOIN last l ON l.doc_id = t.doc_id AND l.sid = t.sid)"""
 
 
+def _part(at: Column, words: Column) -> Column:
+    return F.struct(at.alias("at"), F.array_join(words, " ").alias("text"))
+
+
+def _joined(rows: DataFrame, parts: Column, name: str) -> DataFrame:
+    """The texts of a document's sentences in order."""
+    return rows.select("doc_id", F.array_join(F.transform(F.array_sort(parts), lambda p: p["text"]), " ").alias(name))
+
+
 def _by_document(rows: DataFrame, words: str, name: str) -> DataFrame:
     """One text per document: its sentences' words in order."""
-    joined = rows.select("doc_id", F.struct("at", F.array_join(words, " ").alias("text")).alias("part"))
-    parts = joined.groupBy("doc_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    return parts.select("doc_id", F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias(name))
+    parts = rows.select("doc_id", _part(F.col("at"), F.col(words)).alias("part")).groupBy("doc_id").agg(F.collect_list("part").alias("parts"))
+    return _joined(parts, F.col("parts"), name)
 
 
 @query(
@@ -147,6 +165,13 @@ POS = "CASE substr(tag, 1, 1) WHEN 'J' THEN 'a' WHEN 'V' THEN 'v' WHEN 'R' THEN
     "JOIN lemma_of l ON l.term = p.term AND l.pos = p.pos GROUP BY doc_id",
 )
 def lemmatize_in_context(spark, sf_dir):
+    """Texts are cut into words again in each pass, not written; they are shuffled once."""
     lexicon = corpus_lexicon(spark, document_terms(spark, sf_dir))
-    found = tagging.lemmatize_in_context(_tagged(spark, sf_dir), "tokens", "tags", lexicon, lemma.irregular_table(spark))
-    return _by_document(found, "lemmatized", "lemmatized")
+    docs = documents(spark, sf_dir)
+    good = materialize(load(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct(), "good-documents")
+    good = F.broadcast(good) if measured_bytes(good) <= BROADCAST_BYTES else good
+    tagger = tagging.learn(_ruled(_cut(docs.join(good, "doc_id", "left_semi"))))
+    found = tagging.lemmatize_documents(
+        docs, "doc_id", "text", lambda text: F.transform(F.split(text, SENTENCE_END), _words), tagger, lexicon, lemma.irregular_table(spark)
+    )
+    return _joined(found.filter(F.size("at") > 0), F.zip_with("at", "lemmatized", _part), "lemmatized")

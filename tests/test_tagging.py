@@ -7,7 +7,9 @@ import random
 from collections import Counter
 from itertools import product
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sentilode.operators import tagging
 
@@ -103,3 +105,57 @@ def test_long_sentence_and_rare_words(spark, tagger):
     assert [len(every[k]) if every[k] is not None else None for k in range(5)] == [30_000, 0, None, 1, 1]
     cut = tagging.with_tags(spark.createDataFrame([(rows[0][1][:5],)], "words array<string>"), "words", tagger).first()["tags"]
     assert cut == brute([w if w is not None else "" for w in rows[0][1][:5]])
+
+
+LEXICON = [("n", "saw"), ("v", "see"), ("a", "good"), ("r", "well"), ("v", "run"), ("n", "dog"), ("n", "run"), ("n", "paw"), ("v", "end"), ("n", "end")]
+EXCEPTIONS = [("v", "saw", "see"), ("a", "better", "good"), ("r", "better", "well"), ("v", "ran", "run")]
+
+
+@pytest.mark.parametrize("in_row, most", [(100_000, None), (3, None), (0, 0)])
+def test_documents_as_their_sentences(spark, tagger, in_row, most, monkeypatch):
+    """Documents give what a row per sentence gives, with all, some and no words looked up in the batch, and write none of their words in order."""
+    rng = random.Random(3)
+    vocabulary = [w for s, _ in SENTENCES for w in s.split()] + ["unknown", "dogs", "saws", "zings", "q"]
+    texts = [". ".join(" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(5))) for _ in range(rng.randrange(1, 6))) for _ in range(40)]
+    rows = [(k % 30 if k % 7 else None, t) for k, t in enumerate(texts)] + [(50, None), (51, ""), (52, "..."), (None, None)]
+    docs = spark.createDataFrame(rows, "k bigint, body string").repartition(3)
+    lexicon = spark.createDataFrame(LEXICON, "pos string, lemma string")
+    exceptions = spark.createDataFrame(EXCEPTIONS, "pos string, form string, lemma string")
+    words = lambda sentence: F.regexp_extract_all(sentence, F.lit("[a-z]+"), F.lit(0))
+    cut = docs.select("k", F.posexplode(F.split("body", "[.]")).alias("at", "s")).select("k", "at", words("s").alias("tokens")).filter(F.size("tokens") > 0)
+    want = tagging.lemmatize_in_context(tagging.with_tags(cut, "tokens", tagger), "tokens", "tags", lexicon, exceptions)
+    columns = ["k", "at", "tokens", "tags", "lemmatized"]
+    if most is not None:
+        monkeypatch.setattr(tagging, "lookup_join", lambda *a, join=tagging.lookup_join, **b: join(*a, **b, max_bytes=most))
+    written = []
+    keep = tagging.materialize
+    monkeypatch.setattr(tagging, "materialize", lambda df, name: written.append(df.columns) or keep(df, name))
+    found = tagging.lemmatize_documents(
+        docs, "k", "body", lambda text: F.transform(F.split(text, "[.]"), words), tagger, lexicon, exceptions, in_row
+    )
+    assert not [c for c in written if {"tokens", "tags", "_text"} & set(c)]
+    assert found.columns == columns and found.count() == docs.select("k").distinct().count()
+    flat = found.select("k", F.inline(F.arrays_zip("at", "tokens", "tags", "lemmatized")))
+    known = lambda df: sorted((str(r["k"]), r["at"], r["tokens"], r["tags"], r["lemmatized"]) for r in df.collect())
+    assert known(flat) == known(want) and known(want)
+
+
+def test_documents_and_nothing_learned(spark):
+    none = tagging.learn(spark.createDataFrame([], "tokens array<string>, tags array<string>"))
+    lexicon = spark.createDataFrame(LEXICON, "pos string, lemma string")
+    exceptions = spark.createDataFrame(EXCEPTIONS, "pos string, form string, lemma string")
+    docs = spark.createDataFrame([(1, "dogs ran")], "k int, body string")
+    found = tagging.lemmatize_documents(docs, "k", "body", lambda t: F.array(F.split(t, " ")), none, lexicon, exceptions).first()
+    assert (found["tags"], found["lemmatized"]) == ([[None, None]], [["dog", "ran"]])
+
+
+def test_sentences_in_parts(tagger, monkeypatch):
+    rng = random.Random(4)
+    model = tagging.Tagger(tagger.tags, tagger.classes, tagger.transitions, tagger.emissions, None, None)
+    numbers = np.array([rng.randrange(len(tagger.classes)) for _ in range(60)])
+    starts = np.array([0, 1, 1, 20, 29, 60])
+    whole = tagging.viterbi(numbers, starts, model).tolist()
+    for n in (1, 7, 30, 1000):
+        monkeypatch.setattr(tagging, "TOGETHER", n)
+        assert tagging._in_parts(numbers, starts, model).tolist() == whole
+    assert tagging._in_parts(numbers[:0], np.array([0]), model).tolist() == []
